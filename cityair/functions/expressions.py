@@ -57,8 +57,11 @@ def surrogate_key(sensor_id, date_utc) -> Column:
 
 
 def round_half_even_1(x) -> Column:
-    """Round to one decimal, ties to even, like pandas ``Series.round(1)``."""
-    return F.rint(col_(x) * 10) / 10
+    """Round to one decimal, ties to even, like pandas ``Series.round(1)``.
+
+    The value is first snapped to 9 decimals, so an exact tie (x.x5) is
+    treated as a tie however its last bits came out of the aggregation."""
+    return F.rint(F.round(col_(x), 9) * 10) / 10
 
 
 def month_key(d) -> Column:
