@@ -22,7 +22,7 @@ from cityair.sources import payloads, seeds, standins as S
 DIGITS = 4
 
 # Parameters of the registered runs (the dashboard / config inputs).
-TREND_CITY, TREND_PARAMETER = "GERMANY", "pm25"
+TREND_CITY, TREND_PARAMETER = "NATION_19", "pm25"
 ALERT_COUNTRIES = ("ASIA", "EUROPE")
 ALERT_START, ALERT_END = "2024-01-05", "2024-01-20"
 CAPITALS_FILTER_TEXT, CAPITALS_LIMIT = " n1, N3,,n7 ,N12, n20 ", 3
@@ -123,9 +123,21 @@ PAIR_COLS = ("location_id", "capital_cca2", "capital_name", "capital_country",
              "country_code", "latitude", "longitude")
 
 
+_WORLDS: dict = {}
+
+
+def world(spark: SparkSession, sf_dir: str) -> World:
+    """One World per (session, folder): its DataFrames are lazy plans, so
+    sharing them between queries shares analysis work, not data."""
+    w = _WORLDS.get((id(spark), sf_dir))
+    if w is None or w.spark is not spark:
+        w = _WORLDS[(id(spark), sf_dir)] = World(spark, sf_dir)
+    return w
+
+
 def _q(build):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(build(World(spark, sf_dir)))
+        return rounded(build(world(spark, sf_dir)))
     run.__name__ = getattr(build, "__name__", "query")
     return run
 

@@ -56,8 +56,9 @@ SELECT * FROM readings
 QUALIFY row_number() OVER (PARTITION BY sensor_id, date_utc ORDER BY ingested_at DESC) = 1""",
     ["readings"])
 
-cte("sens", "SELECT DISTINCT sensor_id, sensor_id // 10 AS location_id FROM readings",
-    ["readings"])
+cte("sens", """
+SELECT CAST(c_custkey * 10 + code AS BIGINT) AS sensor_id, c_custkey AS location_id
+FROM (SELECT c_custkey, unnest(range(1, 6)) AS code FROM customer)""")
 
 cte("nr", """
 SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
@@ -421,7 +422,7 @@ ORACLE = {
         UNION ALL SELECT DISTINCT 'ym', ym FROM monthly""", "cda", "monthly"),
     "city_trend": sql(f"""
         SELECT reading_date, {R('avg_value')} FROM cda
-        WHERE city = 'GERMANY' AND parameter = 'pm25' ORDER BY reading_date, country""", "cda"),
+        WHERE city = 'NATION_19' AND parameter = 'pm25' ORDER BY reading_date, country""", "cda"),
     "alerts_filtered": sql(f"""
         SELECT city, country, reading_date, {R('pm25_avg_value')} FROM alerts
         WHERE country IN ('ASIA', 'EUROPE')
