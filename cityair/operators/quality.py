@@ -76,20 +76,34 @@ class Check:
 def run_suite(models: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """``(check_name, model, failing_rows, passed)`` for every check.
 
-    Row checks of a model share one aggregation pass. ``accepted_values``
-    counts failing *values* (distinct), ``unique`` counts duplicated values,
-    like the failing-row count of the generic tests they mirror.
+    Per model, the row checks and one accepted-values check share a single
+    aggregation: group by the accepted-values column (few distinct values,
+    combined map side), count each row failure per group, then fold the
+    groups (failing values = groups outside the list). ``unique`` needs its
+    own group-by on the checked column. Failing-row counts follow the generic
+    tests: accepted-values counts failing *values*, unique counts duplicated
+    values.
     """
     parts = []
     for model, df in models.items():
         mine = [c for c in checks if c.model == model]
         row_checks = [c for c in mine if c.kind in ("not_null", "expression")]
         value_checks = [c for c in mine if c.kind == "accepted_values"]
-        if row_checks:
-            agg = df.agg(*[count_where(c.failing()).alias(f"c{i}")
-                           for i, c in enumerate(row_checks)])
-            parts.append(_unpivot(agg, [c.label for c in row_checks], model))
-        for c in value_checks:
+        grouped_by = value_checks[0] if value_checks else None
+        aggs = [count_where(c.failing()).alias(f"r{i}") for i, c in enumerate(row_checks)]
+        if grouped_by is not None:
+            g = df.groupBy(F.col(grouped_by.column).alias("__v")).agg(
+                F.count(F.lit(1)).alias("__n"), *aggs)
+            folded = g.agg(*[F.coalesce(F.sum(f"r{i}"), F.lit(0)).alias(f"c{i}")
+                             for i in range(len(row_checks))],
+                           count_where(~F.col("__v").isin(list(grouped_by.values)))
+                           .alias(f"c{len(row_checks)}"))
+            parts.append(_unpivot(folded, [c.label for c in row_checks] + [grouped_by.label],
+                                  model))
+        elif row_checks:
+            folded = df.agg(*[a.alias(f"c{i}") for i, a in enumerate(aggs)])
+            parts.append(_unpivot(folded, [c.label for c in row_checks], model))
+        for c in value_checks[1:]:
             n = accepted_values_failures(df, c.column, c.values).agg(
                 F.count(F.lit(1)).alias("c0"))
             parts.append(_unpivot(n, [c.label], model))

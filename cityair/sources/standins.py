@@ -71,9 +71,12 @@ def _units_of(code, user):
 @_memo
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per event (several per sensor-day: the upsert reduces them)."""
-    e = table(spark, sf_dir, "events")
-    t, u = F.col("event_type"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    # The JSON field is parsed once per row in its own projection; the
+    # optimizer keeps that projection because ``k`` is used many times below.
+    e = table(spark, sf_dir, "events").select(
+        "ts", "user_id", "event_type", "value",
+        F.get_json_object("props", "$.k").cast("int").alias("k"))
+    t, u, k = F.col("event_type"), F.col("user_id"), F.col("k")
     code = _event_code(t)
     param = _parameter_of(code, u)
     units = _units_of(code, u)
