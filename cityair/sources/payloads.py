@@ -38,12 +38,10 @@ def read_json_with_quarantine(spark: SparkSession, path, schema: StructType
            .json(path)
            .withColumn("source_file", F.input_file_name()))
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "source_file")
-    # A query on raw JSON that touches only the corrupt-record column is
-    # refused by Spark, so a regular field travels along and is dropped after.
-    first = schema.fields[0].name
+    # Spark refuses a query on raw JSON that touches only the corrupt-record
+    # column, so the quarantine keeps the (NULL) parsed fields next to it.
     bad = (raw.where(F.col(CORRUPT).isNotNull())
-              .select(F.col(CORRUPT).alias("raw_record"), "source_file", first)
-              .drop(first))
+              .withColumnRenamed(CORRUPT, "raw_record"))
     return good, bad
 
 
