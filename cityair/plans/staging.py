@@ -19,6 +19,18 @@ STAGING_COLUMNS = ("measurement_id", "city", "country", "parameter", "value",
                    "max_value", "unit", "date_utc", "percent_complete")
 
 
+def sensor_cities(sensors: DataFrame, locations: DataFrame, extra_location_cols=()) -> DataFrame:
+    """sensor_id -> station -> (city, country): the two dimensions joined to
+    each other first, so the fact table meets one dimension in one join.
+
+    If that dimension ever outgrows the broadcast threshold, the fact is
+    shuffled once on ``sensor_id`` (instead of once per dimension)."""
+    s = sensors.select("sensor_id", "location_id")
+    loc = locations.select("location_id", F.col("capital_name").alias("city"),
+                           F.col("country_name").alias("country"), *extra_location_cols)
+    return s.join(loc, "location_id", "inner")
+
+
 def joined_readings(measurements: DataFrame, sensors: DataFrame, locations: DataFrame,
                     weights: DataFrame, extra_location_cols=()) -> DataFrame:
     """Non-NULL readings joined to sensor, station and molecular weight."""
@@ -27,13 +39,9 @@ def joined_readings(measurements: DataFrame, sensors: DataFrame, locations: Data
         F.lower("parameter_name").alias("parameter"),
         F.lower("parameter_units").alias("unit"),
         "expected_count", "observed_count", "percent_complete")
-    s = sensors.select("sensor_id", "location_id")
-    loc = locations.select("location_id", F.col("capital_name").alias("city"),
-                           F.col("country_name").alias("country"), *extra_location_cols)
     # The seed has six rows: a fixed size, so it is always broadcast.
     mw = F.broadcast(weights.select("parameter", "molecular_weight_g_per_mol"))
-    return (m.join(s, "sensor_id", "inner")
-             .join(loc, "location_id", "inner")
+    return (m.join(sensor_cities(sensors, locations, extra_location_cols), "sensor_id", "inner")
              .join(mw, "parameter", "left"))
 
 
