@@ -179,6 +179,8 @@ def world(spark: SparkSession, sf_dir: str) -> World:
 
 def _q(build):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Day boundaries, month keys and timestamp text are UTC by definition.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return rounded(build(world(spark, sf_dir)))
     run.__name__ = getattr(build, "__name__", "query")
     return run

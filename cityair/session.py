@@ -39,6 +39,29 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Partition sizing for a cluster run over ``input_bytes`` of raw data.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes``
+    so a task's input fits executor memory and spills rarely; AQE starts
+    from that many shuffle partitions and coalesces small ones, and splits
+    partitions over 5x the median (skewed keys) in joins.
+    """
+    slots = executors * cores_per_executor
+    shuffle = max(slots * 2, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": SESSION_CONF[
+            "spark.sql.autoBroadcastJoinThreshold"],
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
