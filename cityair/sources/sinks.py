@@ -94,3 +94,47 @@ def write_snapshot(df: DataFrame, base: str, version: int) -> None:
     (spark.createDataFrame([(int(version),)], "version long")
           .select("version", F.current_timestamp().alias("committed_at"))
           .write.mode("overwrite").parquet(f"{_commit_dir(base)}/v={version}"))
+
+
+# ---- partition-scoped upsert -------------------------------------------------
+MAX_LISTED_PARTITIONS = 10_000
+
+
+def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: str,
+                      partition_expr, ts: str = "ingested_at") -> list:
+    """Upsert ``batch`` into a Parquet table partitioned by ``partition_col``,
+    rewriting only the partitions the batch touches.
+
+    ``partition_expr`` derives the partition from the key (e.g. the month of
+    ``date_utc``), so a key never moves between partitions. The touched
+    partitions are read with partition pruning, merged with the batch,
+    staged in the checkpoint folder (Spark cannot overwrite a path it is
+    reading) and written back with dynamic partition overwrite; all other
+    partitions are left as they are. Re-running a batch converges to the same
+    table, so a retry after a failure is safe.
+
+    Returns the touched partition values (a short list: one value per month
+    present in the batch).
+    """
+    from cityair.operators.merge import merge_upsert
+
+    spark = batch.sparkSession
+    inc = batch.withColumn(partition_col, partition_expr)
+    touched_df = inc.select(partition_col).distinct()
+    touched = [r[0] for r in touched_df.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    existing = None
+    try:
+        table = spark.read.schema(inc.schema).parquet(table_path)
+        if len(touched) <= MAX_LISTED_PARTITIONS:
+            existing = table.where(F.col(partition_col).isin(touched))
+        else:  # too many to list: semi-join on the partition column instead
+            existing = table.join(touched_df, partition_col, "left_semi")
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e).lower():
+            raise
+    merged = merge_upsert(existing, inc, keys, ts)
+    staged = materialize(merged, "upsert_stage", partition_by=(partition_col,))
+    (staged.write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(table_path))
+    return touched

@@ -109,3 +109,37 @@ def test_materialize_goes_to_checkpoint_dir(spark):
     out = sinks.materialize(df, "t", partition_by=("p",))
     assert sorted(r.id for r in out.collect()) == [0, 1, 2, 3, 4]
     assert spark.conf.get("spark.checkpoint.dir") in out.inputFiles()[0]
+
+
+def test_partitioned_upsert_rewrites_only_touched_months(spark, scratch):
+    month = F.date_format("date_utc", "yyyy-MM")
+    table = os.path.join(scratch, "fact")
+    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    first = spark.createDataFrame([measurement(1, 1.0, day=jan, ingested_at=T1),
+                                   measurement(2, 2.0, day=feb, ingested_at=T1)],
+                                  schemas.MEASUREMENTS_DAILY)
+    assert sorted(sinks.upsert_partitions(first, table, KEYS, "month", month)) == ["2024-01", "2024-02"]
+    jan_files = sorted(os.listdir(os.path.join(table, "month=2024-01")))
+    late = spark.createDataFrame([measurement(2, 20.0, day=feb, ingested_at=T2),
+                                  measurement(3, 3.0, day=feb, ingested_at=T2)],
+                                 schemas.MEASUREMENTS_DAILY)
+    assert sinks.upsert_partitions(late, table, KEYS, "month", month) == ["2024-02"]
+    assert sorted(os.listdir(os.path.join(table, "month=2024-01"))) == jan_files  # untouched
+    got = {(r.sensor_id, r.value_avg) for r in spark.read.parquet(table).collect()}
+    assert got == {(1, 1.0), (2, 20.0), (3, 3.0)}
+    # the same batch again changes nothing
+    sinks.upsert_partitions(late, table, KEYS, "month", month)
+    assert spark.read.parquet(table).count() == 3
+
+
+def test_stream_into_partitioned_table(spark, scratch):
+    env = S.day_envelopes(spark, SF0001)
+    src, target, ckpt = (os.path.join(scratch, x) for x in ("landing", "fact", "ckpt"))
+    _land(spark, f"{src}/part1", env)
+    upsert_stream(spark, src + "/*", env.schema, target, ckpt, KEYS,
+                  transform=payloads.flatten_measurements, options=TS_FORMAT,
+                  partition_by=("month", F.date_format("date_utc", "yyyy-MM")))
+    got = spark.read.parquet(target).drop("month")
+    want = S.measurements_daily(spark, SF0001)
+    assert got.count() == 792
+    assert got.select(*want.columns).exceptAll(want).count() == 0
