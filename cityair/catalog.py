@@ -63,6 +63,8 @@ class World:
         "locations": (lambda sp, d: S.locations(sp, d), schemas.LOCATIONS),
         "countries": (lambda sp, d: S.countries(sp, d), schemas.COUNTRIES),
         "stations": (lambda sp, d: S.stations(sp, d, with_sensor_count=True), None),
+        # city-day shaped series from orders, for the monthly views
+        "order_daily": (lambda sp, d: S.order_daily(sp, d), None),
     }
 
     def __init__(self, spark: SparkSession, sf_dir: str, land_raw: bool = True):
@@ -154,7 +156,7 @@ class World:
 
     @cached_property
     def monthly(self):
-        return serving.monthly_city_avg(S.order_daily(self.spark, self.sf_dir), self.coords)
+        return serving.monthly_city_avg(self.raw("order_daily"), self.coords)
 
     @cached_property
     def survey(self):
@@ -273,6 +275,8 @@ BUILDERS = {
     "monthly_explorer": lambda w: w.monthly,
     "monthly_top15": lambda w: serving.monthly_top(w.monthly),
     "colour_caps": lambda w: serving.colour_caps(w.monthly),
+    "alltime_colour_caps": lambda w: serving.colour_caps(
+        serving.map_alltime(w.ranking, w.coords, "pm25")),
     "map_frames": lambda w: serving.map_frames(w.monthly),
     "latest_month": lambda w: serving.latest_month(w.monthly),
     "distinct_values": lambda w: serving.distinct_values(w.cda, w.monthly),

@@ -398,11 +398,16 @@ ORACLE = {
     "monthly_top15": sql(f"""
         SELECT parameter, ym, month_rank, city, country, {R('avg_value')},
                {rnd(label('avg_value'))} AS label_value
-        FROM (SELECT *, row_number() OVER (PARTITION BY parameter, ym
-                                           ORDER BY avg_value DESC, city, country) AS month_rank
+        FROM (SELECT *, CAST(row_number() OVER (PARTITION BY parameter, ym
+                                                ORDER BY avg_value DESC, city, country)
+                             AS INTEGER) AS month_rank
               FROM monthly)
         WHERE month_rank <= 15""", "monthly"),
     "colour_caps": sql(f"SELECT parameter, {R('cmax')}, {R('xmax')} FROM caps", "caps"),
+    "alltime_colour_caps": sql(f"""
+        SELECT parameter, {rnd('quantile_cont(avg_value, 0.95)')} AS cmax,
+               {rnd('quantile_cont(avg_value, 0.98) * ' + D('1.05'))} AS xmax
+        FROM alltime GROUP BY parameter""", "alltime"),
     "map_frames": sql(f"""
         SELECT m.parameter, m.ym, m.city, m.country, {rnd('m.lat')} AS lat,
                {rnd('m.lon')} AS lon, {rnd('m.avg_value')} AS avg_value,
