@@ -45,7 +45,8 @@ def passes_unit_caps(value, unit, caps=K.UNIT_CAPS) -> Column:
 
 
 def timestamp_text(ts) -> Column:
-    """Text of a UTC timestamp as a PostgreSQL ``timestamptz`` prints it
+    """Text of a UTC timestamp with a zone suffix, as SQL engines print a
+    zoned timestamp
     (``2024-01-02 00:00:00+00``); the session zone must be UTC."""
     return F.date_format(col_(ts), "yyyy-MM-dd HH:mm:ssx")
 
