@@ -1,10 +1,10 @@
 """Staging: one clean row per (sensor, day) in µg/m³.
 
 Plan shape: the fact scan carries every row filter (Catalyst pushes the
-range / completeness / NULL predicates into the scan), then two dimension
-joins (sensors, stations) and a lookup of six molecular weights. Dimension
-sides are broadcast by Catalyst only when their estimated size is under
-``spark.sql.autoBroadcastJoinThreshold``; larger ones shuffle-join.
+range / completeness / NULL predicates into the scan), then one join with
+the sensor -> station -> city dimension and a lookup of six molecular
+weights. The dimension is broadcast only after a bounded row count; a larger
+one is shuffle-joined (the fact moves once, on ``sensor_id``).
 """
 
 from __future__ import annotations
@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 
 from cityair.functions import constants as K
 from cityair.functions.expressions import passes_unit_caps, surrogate_key, to_ug_m3
+from cityair.operators.joins import broadcast_if_bounded
+
+# The sensor -> city dimension is broadcast only while a bounded count shows
+# at most this many rows (about 100 MB at the columns kept); beyond it the
+# fact is shuffle-joined once on sensor_id.
+MAX_BROADCAST_SENSORS = 2_000_000
 
 STAGING_COLUMNS = ("measurement_id", "city", "country", "parameter", "value",
                    "max_value", "unit", "date_utc", "percent_complete")
@@ -39,10 +45,14 @@ def joined_readings(measurements: DataFrame, sensors: DataFrame, locations: Data
         F.lower("parameter_name").alias("parameter"),
         F.lower("parameter_units").alias("unit"),
         "expected_count", "observed_count", "percent_complete")
+    # Without column statistics Spark estimates a join of two tables as the
+    # product of their sizes, so the pre-joined dimension would plan as a
+    # shuffle join of the whole fact; a bounded count decides instead.
+    dim = broadcast_if_bounded(sensor_cities(sensors, locations, extra_location_cols),
+                               MAX_BROADCAST_SENSORS)
     # The seed has six rows: a fixed size, so it is always broadcast.
     mw = F.broadcast(weights.select("parameter", "molecular_weight_g_per_mol"))
-    return (m.join(sensor_cities(sensors, locations, extra_location_cols), "sensor_id", "inner")
-             .join(mw, "parameter", "left"))
+    return m.join(dim, "sensor_id", "inner").join(mw, "parameter", "left")
 
 
 def clean_conditions(value: str = "value_avg") -> F.Column:
