@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from cityair import schemas
 from cityair.functions.expressions import surrogate_key, passes_unit_caps
 from cityair.operators import geo, merge, quality
 from cityair.plans import extras, marts, serving, staging, survey
@@ -58,13 +57,13 @@ class World:
     """
 
     RAW = {
-        "measurements": (lambda sp, d: S.measurements_daily(sp, d), schemas.MEASUREMENTS_DAILY),
-        "sensors": (lambda sp, d: S.sensors(sp, d), schemas.SENSORS),
-        "locations": (lambda sp, d: S.locations(sp, d), schemas.LOCATIONS),
-        "countries": (lambda sp, d: S.countries(sp, d), schemas.COUNTRIES),
-        "stations": (lambda sp, d: S.stations(sp, d, with_sensor_count=True), None),
+        "measurements": lambda sp, d: S.measurements_daily(sp, d),
+        "sensors": lambda sp, d: S.sensors(sp, d),
+        "locations": lambda sp, d: S.locations(sp, d),
+        "countries": lambda sp, d: S.countries(sp, d),
+        "stations": lambda sp, d: S.stations(sp, d, with_sensor_count=True),
         # city-day shaped series from orders, for the monthly views
-        "order_daily": (lambda sp, d: S.order_daily(sp, d), None),
+        "order_daily": lambda sp, d: S.order_daily(sp, d),
     }
 
     def __init__(self, spark: SparkSession, sf_dir: str, land_raw: bool = True):
@@ -89,8 +88,7 @@ class World:
         self._raw.update(done)
 
     def _land_one(self, name: str) -> DataFrame:
-        build, _ = self.RAW[name]
-        df = build(self.spark, self.sf_dir)
+        df = self.RAW[name](self.spark, self.sf_dir)
         return materialize(df, f"raw_{name}") if self.land_raw else df
 
     @cached_property

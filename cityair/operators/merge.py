@@ -57,8 +57,12 @@ def merge_upsert(existing: DataFrame | None, increment: DataFrame, keys: Sequenc
 
 
 def pending(candidates: DataFrame, completed: DataFrame, key: str = "sensor_id") -> DataFrame:
-    """Candidates whose key is not in ``completed`` (resume after a stop)."""
-    return candidates.join(completed.select(key), key, "left_anti")
+    """Candidates whose key is not in ``completed`` (resume after a stop).
+
+    ``completed`` may be a fact table with many rows per key: its keys are
+    de-duplicated first (combined map-side), so only distinct keys cross the
+    shuffle and a small result can be broadcast by AQE."""
+    return candidates.join(completed.select(key).distinct(), key, "left_anti")
 
 
 def within_window(df: DataFrame, ts: str, as_of=None, window_days: int | None = None,
