@@ -61,16 +61,18 @@ def alltime_top(alltime: DataFrame, n: int = K.TOP_N_BARS) -> DataFrame:
 
 
 def distinct_values(cda: DataFrame, monthly: DataFrame | None = None) -> DataFrame:
-    """Sorted distinct lists feeding the selectors, in long form."""
-    parts = [cda.select(F.lit(name).alias("list_name"), F.col(name).alias("value")).distinct()
-             for name in ("city", "parameter", "country")]
+    """Sorted distinct lists feeding the selectors, in long form.
+
+    The three city-day columns are stacked into ``(list_name, value)`` pairs
+    in one pass, so the mart is scanned once and one distinct (combined map
+    side) serves every list."""
+    stacked = cda.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("list_name"), F.col(n).alias("value"))
+        for n in ("city", "parameter", "country")])).alias("p")).select("p.*")
     if monthly is not None:
-        parts.append(monthly.select(F.lit("ym").alias("list_name"),
-                                    F.col("ym").alias("value")).distinct())
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("list_name", F.asc_nulls_last("value"))
+        stacked = stacked.unionByName(monthly.select(F.lit("ym").alias("list_name"),
+                                                     F.col("ym").alias("value")))
+    return stacked.distinct().orderBy("list_name", F.asc_nulls_last("value"))
 
 
 def colour_caps(monthly: DataFrame) -> DataFrame:
