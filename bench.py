@@ -2,7 +2,7 @@
 
 Prints one JSON line: {"metric", "value" (sum of all timed steps), "unit",
 "queries": {name: seconds}, "sf"}. ``ingest_raw`` is the landing of the raw
-layer; every query is then fully executed through the no-op sink (no
+layer, ``build_city_daily_table`` the model build; every query is then fully executed through the no-op sink (no
 collect to the driver). A warm-up run on sf0.001 keeps JVM start-up out.
 """
 
@@ -46,8 +46,13 @@ def main() -> None:
     # Ingestion: derive the raw layer from the test tables and land it as
     # Parquet (what the models read), timed on its own.
     t0 = time.perf_counter()
-    world(spark, sf_dir).land()
+    w = world(spark, sf_dir)
+    w.land()
     times["ingest_raw"] = round(time.perf_counter() - t0, 3)
+    # Model build: the city-day table the marts and serving queries read.
+    t0 = time.perf_counter()
+    w.cda
+    times["build_city_daily_table"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         run(name)

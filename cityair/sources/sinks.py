@@ -33,8 +33,9 @@ def materialize(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else \
-        spark.read.parquet(path).select(*df.columns)
+    # Read back with the explicit schema: an empty partitioned write has no
+    # files to infer one from.
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def write_table(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite") -> None:
