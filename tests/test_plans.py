@@ -74,3 +74,10 @@ def test_no_python_udf_anywhere(spark):
         # joins the one-row side by nested loop; with several pollutants it
         # is a hash join. No other query may plan a nested-loop join.
         assert "BroadcastNestedLoopJoin" not in plan or name in ("map_frames",), name
+
+
+def test_registered_marts_read_one_pollutant_folder(spark):
+    for name in ("top10_pm25", "pm25_alerts", "city_trend"):
+        plan = _plan(QUERIES[name](spark, SF0001))
+        assert "PartitionFilters: [isnotnull(parameter" in plan, name
+        assert "= pm25)" in plan, name
