@@ -66,11 +66,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is the folder the cluster names in
-    ``spark.checkpoint.dir``; it is only filled in here when unset (local
-    tests), with a fresh scratch folder.
+    ``spark.checkpoint.dir`` and it must be set there: a machine-local
+    folder would vanish with its executor. Only a local-mode session (tests,
+    the bench) gets a fresh scratch folder when the setting is unset.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="cityair-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
