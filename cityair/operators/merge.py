@@ -65,13 +65,26 @@ def pending(candidates: DataFrame, completed: DataFrame, key: str = "sensor_id")
     return candidates.join(completed.select(key).distinct(), key, "left_anti")
 
 
+def month_of(ts) -> Column:
+    """Partition value of the fact table: the ``yyyy-MM`` month of a timestamp."""
+    return F.date_format(F.col(ts) if isinstance(ts, str) else ts, "yyyy-MM")
+
+
 def within_window(df: DataFrame, ts: str, as_of=None, window_days: int | None = None,
-                  floor=None) -> DataFrame:
-    """Keep ``ts >= as_of - window_days`` and/or ``ts >= floor``; both optional."""
+                  floor=None, partition_col: str | None = None) -> DataFrame:
+    """Keep ``ts >= as_of - window_days`` and/or ``ts >= floor``; both optional.
+
+    With ``partition_col`` (a month-partitioned table, see ``month_of``) the
+    same bound is also stated on the partition column, so months before the
+    window are pruned from the scan instead of read and filtered."""
     cond = F.lit(True)
+    bounds = []
     if window_days is not None:
-        cutoff = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(int(window_days)))
-        cond = cond & (F.col(ts) >= cutoff)
+        bounds.append(F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(int(window_days))))
     if floor is not None:
-        cond = cond & (F.col(ts) >= F.lit(floor).cast("timestamp"))
+        bounds.append(F.lit(floor).cast("timestamp"))
+    for b in bounds:
+        cond = cond & (F.col(ts) >= b)
+        if partition_col is not None:
+            cond = cond & (F.col(partition_col) >= month_of(b))
     return df.where(cond)

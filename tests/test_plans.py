@@ -81,3 +81,8 @@ def test_registered_marts_read_one_pollutant_folder(spark):
         plan = _plan(QUERIES[name](spark, SF0001))
         assert "PartitionFilters: [isnotnull(parameter" in plan, name
         assert "= pm25)" in plan, name
+
+
+def test_window_prunes_months(spark):
+    plan = _plan(QUERIES["window_days"](spark, SF0001))
+    assert "PartitionFilters: [isnotnull(month" in plan and ">= 2024-01)" in plan
