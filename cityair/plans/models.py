@@ -42,3 +42,14 @@ def build_models(measurements: DataFrame, sensors: DataFrame, locations: DataFra
     cda = sinks.read_table(cda_plan.sparkSession, table_path, schemas.CITY_DAILY_AVG)
     return Models(stg, cda, marts.pollution_ranking(cda), marts.kpi_summary(cda),
                   marts.pm25_alerts(cda))
+
+
+def register_views(models: Models | dict, prefix: str = "") -> list[str]:
+    """Expose each model to SQL under its name (``spark.sql('SELECT … FROM
+    city_pollution_ranking …')``), the way consumers read the models."""
+    frames = models.as_dict() if isinstance(models, Models) else dict(models)
+    names = []
+    for name, df in frames.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -63,3 +63,14 @@ def active_per_capital(pairs: DataFrame, as_of) -> DataFrame:
 
 def rows_per_sensor(measurements: DataFrame) -> DataFrame:
     return measurements.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def run_survey(capitals: DataFrame, stations: DataFrame, as_of, report_path: str,
+               n: int = K.TOP_N_BARS) -> tuple[DataFrame, DataFrame]:
+    """Write the survey report (CSV with header) and return
+    ``(summary, top covered capitals)``; all three come from one survey plan."""
+    from cityair.sources.sinks import write_report_csv
+
+    s = capital_survey(capitals, stations, as_of)
+    write_report_csv(s, report_path)
+    return survey_summary(s), covered_capitals(s, n)

@@ -47,3 +47,28 @@ def test_cluster_sizing():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     small = cluster_conf(2 ** 30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_models_as_sql_views(spark, scratch):
+    from cityair.catalog import world
+    from cityair.plans.models import build_models, register_views
+    w = world(spark, SF0001)
+    names = register_views(build_models(w.measurements, w.sensors, w.locations, w.weights,
+                                        scratch + "/cda"))
+    assert "city_pollution_ranking" in names
+    top = spark.sql("""
+        SELECT city, overall_avg_value FROM city_pollution_ranking
+        WHERE parameter = 'pm25' ORDER BY pollution_rank, city LIMIT 10""").collect()
+    ref = QUERIES["top10_pm25"](spark, SF0001).collect()
+    assert [r.city for r in top] == [r.city for r in ref]
+    kpi = spark.sql("SELECT * FROM kpi_summary").first()
+    assert kpi.total_readings == 336
+
+
+def test_run_survey_writes_report(spark, scratch):
+    from cityair.plans.survey import run_survey
+    summary, top = run_survey(S.capitals(spark, SF0001), S.stations(spark, SF0001, with_sensor_count=True),
+                              S.AS_OF, scratch + "/report")
+    assert summary.first().capitals_surveyed == 26
+    assert top.count() == 15
+    assert any(f.endswith(".csv") for f in os.listdir(scratch + "/report"))
