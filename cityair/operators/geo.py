@@ -31,13 +31,14 @@ def capitals_dim(countries: DataFrame, strict: bool = False) -> DataFrame:
     """Capitals ``{country, cca2, capital, lat, lon}`` of usable countries.
 
     Default rule: a non-empty alpha_2 and a capital latitude. ``strict``
-    also needs the country name, the capital name and the longitude.
+    (the survey's rule) also needs a non-empty country name and the
+    longitude; a capital entry must exist, which the coordinates imply.
     """
     cond = (F.col("alpha_2").isNotNull() & (F.col("alpha_2") != "")
             & F.col("capital_lat").isNotNull())
     if strict:
         cond = (cond & F.col("country_name").isNotNull() & (F.col("country_name") != "")
-                & F.col("capital_name").isNotNull() & F.col("capital_lon").isNotNull())
+                & F.col("capital_lon").isNotNull())
     return countries.where(cond).select(
         F.col("country_name").alias("country"), F.col("alpha_2").alias("cca2"),
         F.col("capital_name").alias("capital"), F.col("capital_lat").alias("lat"),

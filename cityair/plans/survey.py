@@ -11,14 +11,18 @@ from cityair.operators.geo import bbox_match
 
 
 def capital_survey(capitals: DataFrame, stations: DataFrame, as_of,
-                   half_width: float = K.BBOX_HALF_WIDTH) -> DataFrame:
+                   half_width: float = K.BBOX_HALF_WIDTH,
+                   max_per_capital: int | None = None) -> DataFrame:
     """One row per capital, capitals without stations included (zeros).
 
     ``stations`` needs ``sensor_count`` (see ``flatten_locations``). Dates
     span all stations in the box, not only active ones. Pairs are reduced
     per capital first, then left-joined to the capital list on its code.
+    ``max_per_capital`` counts only the first n stations per capital (one
+    page of the station search); None counts all.
     """
-    pairs = bbox_match(capitals, stations, half_width=half_width)
+    pairs = bbox_match(capitals, stations, half_width=half_width,
+                       max_per_capital=max_per_capital)
     per_cap = (pairs.groupBy(F.col("capital_cca2").alias("cca2"))
                .agg(F.count(F.lit(1)).alias("total_locations"),
                     count_where(is_active("datetime_last_utc", as_of)).alias("active_locations"),

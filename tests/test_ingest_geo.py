@@ -160,3 +160,12 @@ def test_survey_zero_station_capital(spark):
     summ = survey.survey_summary(s).first()
     assert (summ.capitals_surveyed, summ.with_any_data, summ.with_active, summ.total_active) == \
         (26, 25, 25, 1084)
+
+
+def test_survey_page_cap_option(spark):
+    from cityair.plans import survey
+    caps, st = S.capitals(spark, SF001), S.stations(spark, SF001, with_sensor_count=True)
+    full = {r.cca2: r.total_locations for r in survey.capital_survey(caps, st, S.AS_OF).collect()}
+    capped = {r.cca2: r.total_locations
+              for r in survey.capital_survey(caps, st, S.AS_OF, max_per_capital=50).collect()}
+    assert all(capped[k] == min(v, 50) for k, v in full.items())
