@@ -126,11 +126,22 @@ class World:
         return staging.stg_air_quality(self.measurements, self.sensors, self.locations,
                                        self.weights)
 
+    # Lineage columns landed with staging for the documented extras
+    # (station counts, region by ISO code); the model itself keeps its nine.
+    STG_LINEAGE = ("location_id", "capital_cca2")
+
+    @cached_property
+    def stg_wide(self):
+        """Staging landed once per model build, with lineage columns; its
+        checks, the city-day table and the extras read it instead of
+        re-running the joins."""
+        wide = staging.stg_air_quality(self.measurements, self.sensors, self.locations,
+                                       self.weights, keep=self.STG_LINEAGE)
+        return materialize(wide, "stg_air_quality")
+
     @cached_property
     def stg_table(self):
-        """Staging landed once per model build (its checks and the city-day
-        table read it instead of re-running the joins)."""
-        return materialize(self.stg, "stg_air_quality")
+        return self.stg_wide.select(*staging.STAGING_COLUMNS)
 
     @cached_property
     def cda(self):
@@ -225,11 +236,6 @@ def _suite(w: World) -> DataFrame:
     return quality.run_suite(models, quality.reference_checks())
 
 
-def _stg_keep(w: World, keep) -> DataFrame:
-    return staging.stg_air_quality(w.measurements, w.sensors, w.locations, w.weights,
-                                   keep=keep)
-
-
 BUILDERS = {
     # ---- staging and marts ----
     "stg_air_quality": lambda w: w.stg,
@@ -317,11 +323,9 @@ BUILDERS = {
     "dq_cross_border": lambda w: quality.cross_border_count(w.locations),
     "dq_suite": _suite,
     # ---- documented extras ----
-    "city_daily_confidence": lambda w: extras.city_daily_confidence(
-        _stg_keep(w, ("location_id",))),
+    "city_daily_confidence": lambda w: extras.city_daily_confidence(w.stg_wide),
     "city_daily_region": lambda w: extras.city_daily_region(
-        marts.city_daily_avg(_stg_keep(w, ("capital_cca2",)), extra_keys=("capital_cca2",)),
-        w.countries),
+        marts.city_daily_avg(w.stg_wide, extra_keys=("capital_cca2",)), w.countries),
     "who_flags": lambda w: extras.who_flags(w.spark, w.cda, extras.default_limits()),
     "cap_outliers": lambda w: staging.stg_air_quality(
         w.measurements, w.sensors, w.locations, w.weights, over_range="clip"),
