@@ -4,7 +4,6 @@ import contextlib
 import io
 import os
 
-from pyspark.sql import functions as F
 
 from cityair import schemas
 from cityair.catalog import QUERIES, world

@@ -3,7 +3,6 @@
 import datetime as dt
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from cityair import schemas
 from cityair.operators import geo, merge

@@ -3,7 +3,6 @@
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from cityair.plans import marts, staging
 from cityair.sources import seeds
