@@ -156,3 +156,22 @@ def read_countries(spark, path, run_ts=None) -> DataFrame:
 
 def read_locations(spark, path, run_ts=None) -> DataFrame:
     return flatten_locations(read_json(spark, path, schemas.LOCATION_PAYLOAD), run_ts)
+
+
+def ingest_stations(spark: SparkSession, path, run_ts=None, tags=None
+                    ) -> tuple[DataFrame, DataFrame]:
+    """Stations and their sensors from ONE parse of the landed JSON.
+
+    The typed payload is written once as Parquet in the checkpoint folder;
+    both flatteners then read that copy with column pruning (the sensor
+    table reads only ``id`` and ``sensors``), instead of parsing the JSON
+    text twice. ``tags`` optionally names capital tag columns present in the
+    files (``capital_country``, ``capital_name``, ``capital_cca2``).
+    """
+    from cityair.sources.sinks import materialize
+
+    schema = schemas.LOCATION_PAYLOAD
+    for t in tags or ():
+        schema = schema.add(t, StringType(), True)
+    landed = materialize(read_json(spark, path, schema), "location_payload")
+    return flatten_locations(landed, run_ts), explode_sensors(landed, run_ts)

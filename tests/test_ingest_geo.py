@@ -169,3 +169,15 @@ def test_survey_page_cap_option(spark):
     capped = {r.cca2: r.total_locations
               for r in survey.capital_survey(caps, st, S.AS_OF, max_per_capital=50).collect()}
     assert all(capped[k] == min(v, 50) for k, v in full.items())
+
+
+def test_ingest_stations_one_parse(spark, scratch):
+    p = S.location_payloads(spark, SF0001, True)
+    p.write.mode("overwrite").json(scratch + "/locs")
+    locs, sens = payloads.ingest_stations(
+        spark, scratch + "/locs", RUN, tags=("capital_country", "capital_name", "capital_cca2"))
+    want_l, want_s = S.locations(spark, SF0001), payloads.explode_sensors(p, RUN)
+    assert locs.exceptAll(want_l).count() == 0 and want_l.exceptAll(locs).count() == 0
+    assert sens.exceptAll(want_s).count() == 0 and sens.count() == want_s.count()
+    scan = sens._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in scan and "FileScan json" not in scan
