@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType
 
 from cityair import schemas
 from cityair.operators import geo, merge
@@ -75,7 +76,7 @@ def read_raw(spark: SparkSession, raw_base: str) -> dict[str, DataFrame]:
            for name, schema in (("countries", schemas.COUNTRIES),
                                 ("locations", schemas.LOCATIONS),
                                 ("sensors", schemas.SENSORS))}
-    fact_schema = schemas.MEASUREMENTS_DAILY.add("month", "string")
+    fact_schema = schemas.with_fields(schemas.MEASUREMENTS_DAILY, ("month", StringType()))
     out["measurements"] = spark.read.schema(fact_schema).parquet(raw.measurements)
     return out
 

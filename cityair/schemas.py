@@ -9,6 +9,12 @@ def _s(*fields):
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
+def with_fields(schema: StructType, *fields) -> StructType:
+    """A copy of ``schema`` with extra nullable ``(name, type)`` fields
+    (``StructType.add`` would change the shared schema in place)."""
+    return StructType(list(schema.fields) + [StructField(n, t, True) for n, t in fields])
+
+
 S, L, D, B, TS, DT, I = (StringType(), LongType(), DoubleType(), BooleanType(),
                          TimestampType(), DateType(), IntegerType())
 

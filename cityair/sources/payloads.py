@@ -170,8 +170,7 @@ def ingest_stations(spark: SparkSession, path, run_ts=None, tags=None
     """
     from cityair.sources.sinks import materialize
 
-    schema = schemas.LOCATION_PAYLOAD
-    for t in tags or ():
-        schema = schema.add(t, StringType(), True)
+    schema = schemas.with_fields(schemas.LOCATION_PAYLOAD,
+                                 *[(t, StringType()) for t in tags or ()])
     landed = materialize(read_json(spark, path, schema), "location_payload")
     return flatten_locations(landed, run_ts), explode_sensors(landed, run_ts)

@@ -5,6 +5,7 @@ import json
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from cityair import schemas
 from cityair.operators import geo
@@ -81,8 +82,9 @@ def test_nested_payload_roundtrip_through_json(spark, scratch):
     """Stand-in payloads written as JSON lines and read back flatten the same."""
     p = S.location_payloads(spark, SF0001, True)
     p.write.mode("overwrite").json(scratch + "/locs")
-    back = payloads.read_json(spark, scratch + "/locs", schemas.LOCATION_PAYLOAD.add(
-        "capital_country", "string").add("capital_name", "string").add("capital_cca2", "string"))
+    tags = [(t, StringType()) for t in ("capital_country", "capital_name", "capital_cca2")]
+    back = payloads.read_json(spark, scratch + "/locs",
+                              schemas.with_fields(schemas.LOCATION_PAYLOAD, *tags))
     a = payloads.flatten_locations(back, RUN)
     b = S.locations(spark, SF0001)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
