@@ -38,7 +38,7 @@ def _round_double(c, digits: int):
     # 81.41875 then rounds the same way whichever last-bit noise each
     # engine's summation order left on it.
     snapped = F.round(c.cast("decimal(38,9)"), digits).cast("double")
-    return F.when(F.isnan(c), c).otherwise(snapped)
+    return F.when(F.isnan(c) | (F.abs(c) >= 1e28), c).otherwise(snapped)
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
