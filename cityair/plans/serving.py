@@ -115,10 +115,9 @@ def city_trend(spark: SparkSession, cda: DataFrame, city: str, parameter: str) -
         args={"city": city, "parameter": parameter}, cda=cda)
 
 
-def filter_alerts(alerts: DataFrame, countries: Iterable[str] | None = None,
-                  start=None, end=None) -> DataFrame:
+def alert_filter(countries: Iterable[str] | None = None, start=None, end=None) -> F.Column:
     """Optional country list (empty = all) and inclusive date range (used
-    only when both ends are given)."""
+    only when both ends are given), as one predicate."""
     cond = F.lit(True)
     countries = list(countries or [])
     if countries:
@@ -126,15 +125,15 @@ def filter_alerts(alerts: DataFrame, countries: Iterable[str] | None = None,
     if start is not None and end is not None:
         cond = cond & F.col("reading_date").between(F.lit(start).cast("date"),
                                                     F.lit(end).cast("date"))
-    return alerts.where(cond), cond
+    return cond
 
 
 def alerts_filtered(alerts: DataFrame, countries=None, start=None, end=None) -> DataFrame:
-    return filter_alerts(alerts, countries, start, end)[0]
+    return alerts.where(alert_filter(countries, start, end))
 
 
 def alerts_shown(alerts: DataFrame, countries=None, start=None, end=None) -> DataFrame:
     """``shown`` of ``total`` alert rows in one aggregation."""
-    _, cond = filter_alerts(alerts, countries, start, end)
+    cond = alert_filter(countries, start, end)
     return alerts.agg(F.coalesce(F.count_if(cond), F.lit(0)).cast("long").alias("shown"),
                       F.count(F.lit(1)).alias("total"))
