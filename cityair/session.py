@@ -59,6 +59,9 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": SESSION_CONF[
             "spark.sql.autoBroadcastJoinThreshold"],
+        # Bound output files of partitioned writes (a hot month still ends
+        # up in several files rather than one huge one).
+        "spark.sql.files.maxRecordsPerFile": "20000000",
     }
 
 
