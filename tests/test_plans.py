@@ -68,11 +68,7 @@ def test_no_python_udf_anywhere(spark):
         plan = _plan(q(spark, SF0001))
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
         assert "CartesianProduct" not in plan, name
-        # The monthly stand-in holds one pollutant, so the optimizer folds the
-        # ``parameter`` join key of the per-pollutant caps to a constant and
-        # joins the one-row side by nested loop; with several pollutants it
-        # is a hash join. No other query may plan a nested-loop join.
-        assert "BroadcastNestedLoopJoin" not in plan or name in ("map_frames",), name
+        assert "BroadcastNestedLoopJoin" not in plan, name
 
 
 def test_registered_marts_read_one_pollutant_folder(spark):
