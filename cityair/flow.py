@@ -38,17 +38,21 @@ def ingest(spark: SparkSession, countries_path, locations_path, days_path, raw_b
 
     Dimension tables are versioned snapshots (small); the fact table is
     partitioned by month and only the months a run touches are rewritten.
-    Returns the current raw tables.
+    Malformed lines of any payload are appended to ``raw_base/_quarantine``
+    and the rest of the run goes on. Returns the current raw tables.
     """
     raw = RawPaths(raw_base)
-    countries = payloads.read_countries(spark, countries_path, run_ts)
+    quarantine = f"{raw_base.rstrip('/')}/_quarantine"
+    countries = payloads.flatten_countries(payloads.read_payload(
+        spark, countries_path, schemas.COUNTRY_PAYLOAD, f"{quarantine}/countries"), run_ts)
     capitals = geo.filter_capitals(geo.capitals_dim(countries), capital_codes, capital_limit)
-    stations, sensors = payloads.ingest_stations(spark, locations_path, run_ts)
+    stations, sensors = payloads.ingest_stations(
+        spark, locations_path, run_ts, quarantine_path=f"{quarantine}/locations")
     tagged = geo.tag_stations(capitals, stations, as_of, same_country=same_country,
                               max_per_capital=max_per_capital)
     tagged_sensors = sensors.join(tagged.select("location_id"), "location_id", "left_semi")
-    days = payloads.flatten_measurements(
-        payloads.read_json(spark, days_path, schemas.DAY_ENVELOPE), run_ts)
+    days = payloads.flatten_measurements(payloads.read_payload(
+        spark, days_path, schemas.DAY_ENVELOPE, f"{quarantine}/days"), run_ts)
     if window_days is not None:
         days = merge.within_window(days, "date_utc", as_of, window_days)
 

@@ -158,19 +158,48 @@ def read_locations(spark, path, run_ts=None) -> DataFrame:
     return flatten_locations(read_json(spark, path, schemas.LOCATION_PAYLOAD), run_ts)
 
 
-def ingest_stations(spark: SparkSession, path, run_ts=None, tags=None
-                    ) -> tuple[DataFrame, DataFrame]:
+def ingest_stations(spark: SparkSession, path, run_ts=None, tags=None,
+                    quarantine_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Stations and their sensors from ONE parse of the landed JSON.
 
     The typed payload is written once as Parquet in the checkpoint folder;
     both flatteners then read that copy with column pruning (the sensor
     table reads only ``id`` and ``sensors``), instead of parsing the JSON
     text twice. ``tags`` optionally names capital tag columns present in the
-    files (``capital_country``, ``capital_name``, ``capital_cca2``).
+    files (``capital_country``, ``capital_name``, ``capital_cca2``). With
+    ``quarantine_path`` malformed lines are appended there and skipped.
     """
     from cityair.sources.sinks import materialize
 
     schema = schemas.with_fields(schemas.LOCATION_PAYLOAD,
                                  *[(t, StringType()) for t in tags or ()])
-    landed = materialize(read_json(spark, path, schema), "location_payload")
+    if quarantine_path is None:
+        landed = materialize(read_json(spark, path, schema), "location_payload")
+    else:
+        landed = read_payload(spark, path, schema, quarantine_path)
     return flatten_locations(landed, run_ts), explode_sensors(landed, run_ts)
+
+
+def read_payload(spark: SparkSession, path, schema: StructType,
+                 quarantine_path: str | None = None) -> DataFrame:
+    """Read landed JSON; with ``quarantine_path``, malformed lines are
+    appended to that table (raw text and source file) and left out, so one
+    bad record never stops the load.
+
+    With a quarantine the JSON is parsed once into a Parquet copy in the
+    checkpoint folder (good and bad rows both come from that copy; Spark
+    also refuses queries on raw JSON that read only the corrupt-record
+    column)."""
+    if quarantine_path is None:
+        return read_json(spark, path, schema)
+    from cityair.sources.sinks import materialize
+
+    full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
+    parsed = materialize(
+        spark.read.schema(full).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+             .withColumn("source_file", F.input_file_name()), "payload_parsed")
+    (parsed.where(F.col(CORRUPT).isNotNull())
+           .select(F.col(CORRUPT).alias("raw_record"), "source_file")
+           .write.mode("append").parquet(quarantine_path))
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "source_file")

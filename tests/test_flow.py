@@ -20,6 +20,8 @@ def test_ingest_then_build(spark, scratch):
     split = F.lit(S.SPLIT_TS).cast("timestamp")
     env.where(F.col("ingested_at") < split).write.options(**TS).json(land + "/days1")
     env.where(F.col("ingested_at") >= split).write.options(**TS).json(land + "/days2")
+    with open(os.path.join(land, "days2", "part-broken.json"), "w") as f:
+        f.write('{"sensor_id": 1, "reading": {"value": \n')  # a cut-off line
     raw_base = os.path.join(scratch, "raw")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -39,3 +41,5 @@ def test_ingest_then_build(spark, scratch):
     suite = quality.run_suite(models.as_dict(), quality.reference_checks()).collect()
     assert all(r.passed for r in suite)
     assert models.city_daily_avg.count() > 0
+    bad = spark.read.parquet(raw_base + "/_quarantine/days").collect()
+    assert len(bad) == 1 and "part-broken" in bad[0].source_file
