@@ -151,10 +151,11 @@ class World:
                            partition_by=("parameter",))
 
     def build_models(self) -> None:
-        """The model build: land staging, then the city-day table, then the
-        monthly serving series."""
-        self.cda
-        self.monthly
+        """The model build: staging then the city-day table, and (independent
+        of them, so in parallel) the monthly serving series."""
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(lambda: self.cda), pool.submit(lambda: self.monthly)]:
+                f.result()
 
     @cached_property
     def ranking(self):
