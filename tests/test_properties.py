@@ -59,3 +59,57 @@ def test_two_increments_equal_one_batch(spark, rows, cut):
     got = {(r.sensor_id, (r.date_utc - T0).days, r.value_avg) for r in two.collect()}
     assert got == want
     assert one.count() == len(best)
+
+
+WEIGHTS = {"no2": 46.0055, "o3": 48.0, "so2": 64.066, "co": 28.01, "pm25": None, "pm10": None}
+
+
+def _expected(rows):
+    """Staging rules restated in plain Python (SQL three-valued logic for the
+    unit caps)."""
+    out = {}
+    for i, (v, unit, param, pct) in enumerate(rows):
+        if v is None or pct is None:
+            continue
+        u = unit.lower() if unit is not None else None
+        p = param.lower() if param is not None else None
+        if not (0 <= v < 10000 and pct >= 75 and p in WEIGHTS):
+            continue
+        for cap_unit, cap in (("ppm", 50), ("ppb", 50000)):
+            hit = None if u is None else (u == cap_unit)
+            if hit is None and v > cap:
+                break          # NOT(NULL AND TRUE) = NULL -> dropped
+            if hit and v > cap:
+                break
+        else:
+            mw = WEIGHTS[p]
+            if u == "ppm":
+                val = None if mw is None else v * mw * 1000 / 24.45
+            elif u == "ppb":
+                val = None if mw is None else v * mw / 24.45
+            else:
+                val = v
+            out[i] = val
+    return out
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(
+    st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 40.0, 50.0, 51.0, 9999.0, 10000.0, 60000.0]),
+              st.floats(-10, 12000, allow_nan=False)),
+    st.sampled_from([None, "ppm", "PPM", "ppb", "µg/m³", "ug/m3"]),
+    st.sampled_from([None, "pm25", "PM10", "no2", "co", "o3", "so2", "temperature"]),
+    st.one_of(st.none(), st.sampled_from([74.9, 75.0, 100.0]))), min_size=1, max_size=20))
+def test_staging_rules_match_plain_python(spark, rows):
+    from cityair.plans import staging
+    from cityair.sources import seeds
+    from helpers import frames, location, sensor
+    meas = [measurement(i + 1, v, p, u, pct) for i, (v, u, p, pct) in enumerate(rows)]
+    m, s, l = frames(spark, meas, [sensor(i + 1, 1) for i in range(len(rows))],
+                     [location(1, "Athens")])
+    got = {r.sensor_id - 1: r.value for r in staging.stg_air_quality(
+        m, s, l, seeds.molecular_weights(spark), keep=("sensor_id",)).collect()}
+    want = _expected(rows)
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert (got[k] is None and v is None) or abs(got[k] - v) < 1e-9 * max(1, abs(v))
