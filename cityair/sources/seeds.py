@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cityair import schemas
 from cityair.functions.constants import MOLECULAR_WEIGHTS
 
-SEED_DIR = os.path.join(os.path.dirname(__file__), "seeds")
-WEIGHTS_CSV = os.path.join(SEED_DIR, "pollutant_molecular_weights.csv")
-
 
 def molecular_weights(spark: SparkSession) -> DataFrame:
     """The six seed rows as an in-plan local relation (broadcast for free)."""
@@ -21,7 +16,15 @@ def molecular_weights(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(parameter, molecular_weight_g_per_mol)")
 
 
-def read_seed_csv(spark: SparkSession, path: str = WEIGHTS_CSV) -> DataFrame:
+def seed_csv_text() -> str:
+    """The seed as header CSV text (empty field = no weight), for landing it
+    as a file where a CSV seed is expected."""
+    lines = ["parameter,molecular_weight_g_per_mol"]
+    lines += [f"{p},{'' if w is None else w}" for p, w in MOLECULAR_WEIGHTS]
+    return "\n".join(lines) + "\n"
+
+
+def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV; an empty field reads as NULL."""
     return spark.read.csv(path, header=True, schema=schemas.MOLECULAR_WEIGHTS)
 

@@ -87,9 +87,12 @@ def test_clip_mode_keeps_over_range(spark):
     assert [r.value for r in out.collect()] == [10000.0]
 
 
-def test_seed_csv_reads_empty_as_null(spark):
+def test_seed_csv_reads_empty_as_null(spark, scratch):
+    path = scratch + "/weights.csv"
+    with open(path, "w") as f:
+        f.write(seeds.seed_csv_text())
     rows = {r.parameter: r.molecular_weight_g_per_mol
-            for r in seeds.read_seed_csv(spark).collect()}
+            for r in seeds.read_seed_csv(spark, path).collect()}
     assert rows["no2"] == 46.0055 and rows["pm25"] is None and len(rows) == 6
     inline = {r.parameter: r.molecular_weight_g_per_mol
               for r in seeds.molecular_weights(spark).collect()}
