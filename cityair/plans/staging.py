@@ -17,9 +17,9 @@ from cityair.functions.expressions import passes_unit_caps, surrogate_key, to_ug
 from cityair.operators.joins import broadcast_if_bounded
 
 # The sensor -> city dimension is broadcast only while a bounded count shows
-# at most this many rows (about 100 MB at the columns kept); beyond it the
-# fact is shuffle-joined once on sensor_id.
-MAX_BROADCAST_SENSORS = 2_000_000
+# at most this many rows (about 80 MB at the four columns kept); beyond it
+# the fact is shuffle-joined once on sensor_id.
+MAX_BROADCAST_SENSORS = 1_000_000
 
 STAGING_COLUMNS = ("measurement_id", "city", "country", "parameter", "value",
                    "max_value", "unit", "date_utc", "percent_complete")
