@@ -81,3 +81,31 @@ def test_registered_marts_read_one_pollutant_folder(spark):
 def test_window_prunes_months(spark):
     plan = _plan(QUERIES["window_days"](spark, SF0001))
     assert "PartitionFilters: [isnotnull(month" in plan and ">= 2024-01)" in plan
+
+
+def test_shuffle_join_fallback_gives_same_rows(spark, monkeypatch):
+    from cityair.operators import geo
+    from cityair.plans import staging as stg_mod
+    from cityair.sources import standins as S
+    w = world(spark, SF0001)
+    fast_stg = staging.stg_air_quality(w.measurements, w.sensors, w.locations, w.weights)
+    fast_geo = geo.bbox_match(S.capitals(spark, SF0001), S.stations(spark, SF0001))
+    want_stg, want_geo = fast_stg.collect(), fast_geo.collect()
+    monkeypatch.setattr(stg_mod, "MAX_BROADCAST_SENSORS", 0)
+    monkeypatch.setattr(geo, "MAX_BROADCAST_CAPITAL_CELLS", 0)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        slow_stg = staging.stg_air_quality(w.measurements, w.sensors, w.locations, w.weights)
+        slow_geo = geo.bbox_match(S.capitals(spark, SF0001), S.stations(spark, SF0001))
+        assert "SortMergeJoin" in _plan(slow_stg) and "SortMergeJoin" in _plan(slow_geo)
+        assert sorted(map(tuple, slow_stg.collect())) == sorted(map(tuple, want_stg))
+        assert sorted(map(tuple, slow_geo.collect())) == sorted(map(tuple, want_geo))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
