@@ -157,3 +157,22 @@ def test_results_do_not_depend_on_partitioning(spark):
     t1 = geo.tag_stations(caps, st.repartition(5), S.AS_OF)
     t2 = geo.tag_stations(caps, st.coalesce(1), S.AS_OF)
     assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
+
+
+def test_stream_micro_batches_and_resume(spark, scratch):
+    """One file per micro-batch: each batch commits its own version; a later
+    run picks up only the newly landed file."""
+    env = S.day_envelopes(spark, SF0001)
+    src, target, ckpt = (os.path.join(scratch, x) for x in ("landing", "table", "ckpt"))
+    days = F.dayofmonth("ingested_at")
+    for i, (lo, hi) in enumerate(((1, 10), (11, 20))):
+        env.where(days.between(lo, hi)).coalesce(1).write.options(**TS_FORMAT).json(f"{src}/p{i}")
+    kw = dict(transform=payloads.flatten_measurements, options=TS_FORMAT, max_files_per_trigger=1)
+    upsert_stream(spark, src + "/*", env.schema, target, ckpt, KEYS, **kw)
+    assert sinks.current_version(spark, target) == 1          # two batches: v0, v1
+    env.where(days >= 21).coalesce(1).write.options(**TS_FORMAT).json(f"{src}/p2")
+    upsert_stream(spark, src + "/*", env.schema, target, ckpt, KEYS, **kw)
+    assert sinks.current_version(spark, target) == 2          # only the new file
+    got = sinks.read_snapshot(spark, target, schemas.MEASUREMENTS_DAILY)
+    want = S.measurements_daily(spark, SF0001)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
