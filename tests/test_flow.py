@@ -43,3 +43,19 @@ def test_ingest_then_build(spark, scratch):
     assert models.city_daily_avg.count() > 0
     bad = spark.read.parquet(raw_base + "/_quarantine/days").collect()
     assert len(bad) == 1 and "part-broken" in bad[0].source_file
+
+
+def test_reduced_scope_run(spark, scratch):
+    """Three capitals (first by code after the allow-list) and a 7-day window."""
+    from conftest import SF0001
+    land = os.path.join(scratch, "landing")
+    S.country_payloads(spark, SF0001).write.json(land + "/countries")
+    S.location_payloads(spark, SF0001, False).write.json(land + "/locations")
+    S.day_envelopes(spark, SF0001).write.options(**TS).json(land + "/days")
+    raw = flow.ingest(spark, land + "/countries", land + "/locations", land + "/days",
+                      os.path.join(scratch, "raw"), S.RUN_TS, S.AS_OF,
+                      capital_codes="N1,N2,N3,N4,N5", capital_limit=3, window_days=7)
+    caps = {r.capital_cca2 for r in raw["locations"].select("capital_cca2").distinct().collect()}
+    assert caps <= {"N1", "N2", "N3"} and caps
+    first = raw["measurements"].agg(F.min("date_utc")).first()[0]
+    assert str(first) >= "2024-01-23"
