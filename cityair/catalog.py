@@ -21,7 +21,7 @@ from cityair.functions.expressions import surrogate_key, passes_unit_caps
 from cityair.operators import geo, merge, quality
 from cityair.plans import extras, marts, serving, staging, survey
 from cityair.sources import payloads, seeds, standins as S
-from cityair.sources.sinks import materialize
+from cityair.sources.sinks import materialize, scratch_path, write_report_csv
 
 DIGITS = 4
 
@@ -230,6 +230,14 @@ def _q(build):
     return run
 
 
+def _capitals_csv(w: World) -> DataFrame:
+    """The capitals dimension landed as a header CSV (the static-list
+    format) and read back through the typed CSV reader."""
+    path = scratch_path(w.spark, "capitals_csv")
+    write_report_csv(w.capitals, path)
+    return seeds.read_capitals_csv(w.spark, path)
+
+
 def _merge_two_increments(w: World) -> DataFrame:
     r = w.readings
     first = r.where(F.col("ingested_at") < F.lit(S.SPLIT_TS).cast("timestamp"))
@@ -286,6 +294,7 @@ BUILDERS = {
         w.measurements.select("sensor_id")),
     # ---- geography ----
     "capitals_dim": lambda w: w.capitals,
+    "capitals_csv": _capitals_csv,
     "capitals_filter": lambda w: geo.filter_capitals(w.capitals, CAPITALS_FILTER_TEXT,
                                                      CAPITALS_LIMIT),
     "bbox_match": lambda w: w.pairs.select(*PAIR_COLS),

@@ -356,6 +356,8 @@ ORACLE = {
                            "meas"),
     "capitals_dim": sql(f"SELECT country, cca2, capital, {R('lat')}, {R('lon')} FROM capitals",
                         "capitals"),
+    "capitals_csv": sql(f"SELECT country, cca2, capital, {R('lat')}, {R('lon')} FROM capitals",
+                        "capitals"),
     "capitals_filter": sql(f"""
         SELECT country, cca2, capital, {R('lat')}, {R('lon')} FROM capitals
         WHERE cca2 IN ('N1', 'N3', 'N7', 'N12', 'N20') ORDER BY cca2 LIMIT 3""", "capitals"),
