@@ -484,7 +484,10 @@ ORACLE = {
     "who_flags": sql(f"""
         SELECT city, country, parameter, reading_date, {R('avg_value')},
                CASE WHEN parameter = 'pm25' THEN avg_value > 25 END AS exceeds_who_24h,
-               CAST(NULL AS BOOLEAN) AS exceeds_who_annual,
+               CASE WHEN parameter = 'pm25'
+                    THEN avg(avg_value) OVER (PARTITION BY city, country, parameter,
+                                                           year(reading_date)) > 15 END
+                 AS exceeds_who_annual,
                CASE WHEN parameter = 'o3'
                     THEN 'guideline is an 8-hour mean; daily mean not comparable' END AS caveat
         FROM cda""", "cda"),
