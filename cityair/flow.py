@@ -22,10 +22,11 @@ from cityair.sources import payloads, seeds, sinks
 
 @dataclass
 class RawPaths:
+    """The raw namespace is a folder: ``<base>/<table>``."""
     base: str
 
-    def __getattr__(self, name):  # countries, locations, sensors, measurements
-        return f"{self.base.rstrip('/')}/{name}"
+    def path(self, table: str) -> str:
+        return f"{self.base.rstrip('/')}/{table}"
 
 
 
@@ -42,7 +43,7 @@ def ingest(spark: SparkSession, countries_path, locations_path, days_path, raw_b
     and the rest of the run goes on. Returns the current raw tables.
     """
     raw = RawPaths(raw_base)
-    quarantine = f"{raw_base.rstrip('/')}/_quarantine"
+    quarantine = raw.path("_quarantine")
     countries = payloads.flatten_countries(payloads.read_payload(
         spark, countries_path, schemas.COUNTRY_PAYLOAD, f"{quarantine}/countries"), run_ts)
     capitals = geo.filter_capitals(geo.capitals_dim(countries), capital_codes, capital_limit)
@@ -60,8 +61,8 @@ def ingest(spark: SparkSession, countries_path, locations_path, days_path, raw_b
                            ("locations", tagged.select(*schemas.LOCATIONS.fieldNames()),
                             ["location_id"]),
                            ("sensors", tagged_sensors, ["sensor_id"])):
-        _upsert_snapshot(df, getattr(raw, name), keys)
-    sinks.upsert_partitions(days, raw.measurements, ["sensor_id", "date_utc"], "month",
+        _upsert_snapshot(df, raw.path(name), keys)
+    sinks.upsert_partitions(days, raw.path("measurements"), ["sensor_id", "date_utc"], "month",
                             merge.month_of("date_utc"))
     return read_raw(spark, raw_base)
 
@@ -76,12 +77,12 @@ def _upsert_snapshot(df: DataFrame, base: str, keys) -> None:
 
 def read_raw(spark: SparkSession, raw_base: str) -> dict[str, DataFrame]:
     raw = RawPaths(raw_base)
-    out = {name: sinks.read_snapshot(spark, getattr(raw, name), schema)
+    out = {name: sinks.read_snapshot(spark, raw.path(name), schema)
            for name, schema in (("countries", schemas.COUNTRIES),
                                 ("locations", schemas.LOCATIONS),
                                 ("sensors", schemas.SENSORS))}
     fact_schema = schemas.with_fields(schemas.MEASUREMENTS_DAILY, ("month", StringType()))
-    out["measurements"] = spark.read.schema(fact_schema).parquet(raw.measurements)
+    out["measurements"] = spark.read.schema(fact_schema).parquet(raw.path("measurements"))
     return out
 
 
