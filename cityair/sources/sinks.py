@@ -134,7 +134,9 @@ def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: st
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e).lower():
             raise
     merged = merge_upsert(existing, inc, keys, ts)
-    staged = materialize(merged, "upsert_stage", partition_by=(partition_col,))
+    # Staging is only needed when the merge reads the table it overwrites.
+    staged = merged if existing is None else materialize(
+        merged, "upsert_stage", partition_by=(partition_col,))
     (staged.write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(table_path))
