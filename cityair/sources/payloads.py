@@ -28,20 +28,22 @@ def read_json_with_quarantine(spark: SparkSession, path, schema: StructType
     """PERMISSIVE scan that splits parsed rows from malformed lines.
 
     Returns ``(good, quarantine)``; ``quarantine`` holds the raw text of every
-    line that did not parse and its file, so one bad record never stops the
-    rest of the load.
+    line that did not parse (``raw_record``) and its ``source_file``, so one
+    bad record never stops the rest of the load. The JSON is parsed once
+    into a Parquet copy in the checkpoint folder and both outputs read that
+    copy (Spark also refuses queries on raw JSON that read only the
+    corrupt-record column).
     """
+    from cityair.sources.sinks import materialize
+
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    raw = (spark.read.schema(full)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .json(path)
-           .withColumn("source_file", F.input_file_name()))
-    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "source_file")
-    # Spark refuses a query on raw JSON that touches only the corrupt-record
-    # column, so the quarantine keeps the (NULL) parsed fields next to it.
-    bad = (raw.where(F.col(CORRUPT).isNotNull())
-              .withColumnRenamed(CORRUPT, "raw_record"))
+    parsed = materialize(
+        spark.read.schema(full).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+             .withColumn("source_file", F.input_file_name()), "payload_parsed")
+    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "source_file")
+    bad = (parsed.where(F.col(CORRUPT).isNotNull())
+                 .select(F.col(CORRUPT).alias("raw_record"), "source_file"))
     return good, bad
 
 
@@ -184,22 +186,9 @@ def read_payload(spark: SparkSession, path, schema: StructType,
                  quarantine_path: str | None = None) -> DataFrame:
     """Read landed JSON; with ``quarantine_path``, malformed lines are
     appended to that table (raw text and source file) and left out, so one
-    bad record never stops the load.
-
-    With a quarantine the JSON is parsed once into a Parquet copy in the
-    checkpoint folder (good and bad rows both come from that copy; Spark
-    also refuses queries on raw JSON that read only the corrupt-record
-    column)."""
+    bad record never stops the load."""
     if quarantine_path is None:
         return read_json(spark, path, schema)
-    from cityair.sources.sinks import materialize
-
-    full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    parsed = materialize(
-        spark.read.schema(full).option("mode", "PERMISSIVE")
-             .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-             .withColumn("source_file", F.input_file_name()), "payload_parsed")
-    (parsed.where(F.col(CORRUPT).isNotNull())
-           .select(F.col(CORRUPT).alias("raw_record"), "source_file")
-           .write.mode("append").parquet(quarantine_path))
-    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "source_file")
+    good, bad = read_json_with_quarantine(spark, path, schema)
+    bad.write.mode("append").parquet(quarantine_path)
+    return good
