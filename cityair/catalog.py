@@ -15,7 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, TimestampType
 
 from cityair.functions.expressions import surrogate_key, passes_unit_caps
 from cityair.operators import geo, merge, quality
@@ -44,10 +44,21 @@ def _round_double(c, digits: int):
     return F.when(F.isnan(c) | (F.abs(c) >= 1e28), c).otherwise(snapped)
 
 
+def _out(f, digits: int):
+    c = F.col(f.name)
+    if isinstance(f.dataType, DoubleType):
+        return _round_double(c, digits).alias(f.name)
+    if isinstance(f.dataType, TimestampType):
+        # UTC wall clock without a zone (like SQL TIMESTAMP): collected values
+        # then do not depend on the client process's time zone.
+        return c.cast("timestamp_ntz").alias(f.name)
+    return c
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(*[_round_double(F.col(f.name), digits).alias(f.name)
-                       if isinstance(f.dataType, DoubleType) else F.col(f.name)
-                       for f in df.schema.fields])
+    """Result form of a registered query: doubles rounded (see above) and
+    timestamps as zone-less UTC wall clock."""
+    return df.select(*[_out(f, digits) for f in df.schema.fields])
 
 
 class World:
