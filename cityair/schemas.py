@@ -69,7 +69,8 @@ LOCATION_PAYLOAD = _s(
     ("sensors", ArrayType(_s(("id", L), ("name", S), ("parameter", _PARAM)))))
 
 # A day reading; the sensor id is not part of the object, so landed files carry
-# it in an envelope field next to the reading.
+# it in an envelope field next to the reading, optionally with the time the
+# record was fetched (the load stamp otherwise).
 DAY_PAYLOAD = _s(
     ("value", D),
     ("period", _s(("label", S),
@@ -80,7 +81,7 @@ DAY_PAYLOAD = _s(
                     ("percentComplete", D))),
     ("summary", _s(("min", D), ("max", D), ("median", D), ("sd", D))))
 
-DAY_ENVELOPE = _s(("sensor_id", L), ("reading", DAY_PAYLOAD))
+DAY_ENVELOPE = _s(("sensor_id", L), ("reading", DAY_PAYLOAD), ("ingested_at", TS))
 
 # ---- models -----------------------------------------------------------------
 STG_AIR_QUALITY = _s(("measurement_id", S), ("city", S), ("country", S),

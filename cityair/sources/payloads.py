@@ -48,9 +48,11 @@ def read_json_with_quarantine(spark: SparkSession, path, schema: StructType
 
 
 def _stamp(df: DataFrame, run_ts) -> F.Column:
+    """The record's own fetch time when it carries one, else the run's stamp."""
+    run = F.lit(run_ts).cast("timestamp")
     if "ingested_at" in df.columns:
-        return F.col("ingested_at").cast("timestamp")
-    return F.lit(run_ts).cast("timestamp")
+        return F.coalesce(F.col("ingested_at").cast("timestamp"), run)
+    return run
 
 
 def primary_capital(capitals) -> F.Column:

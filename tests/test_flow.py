@@ -59,3 +59,19 @@ def test_reduced_scope_run(spark, scratch):
     assert caps <= {"N1", "N2", "N3"} and caps
     first = raw["measurements"].agg(F.min("date_utc")).first()[0]
     assert str(first) >= "2024-01-23"
+
+
+def test_streamed_fact_equals_batch_fact(spark, scratch):
+    from conftest import SF0001
+    land = os.path.join(scratch, "landing")
+    env = S.day_envelopes(spark, SF0001)
+    split = F.lit(S.SPLIT_TS).cast("timestamp")
+    env.where(F.col("ingested_at") < split).write.options(**TS).json(land + "/d1")
+    raw_base, ckpt = os.path.join(scratch, "raw"), os.path.join(scratch, "ckpt")
+    flow.stream_days(spark, land + "/*", raw_base, ckpt, options=TS)
+    env.where(F.col("ingested_at") >= split).write.options(**TS).json(land + "/d2")
+    flow.stream_days(spark, land + "/*", raw_base, ckpt, options=TS)
+    got = spark.read.parquet(raw_base + "/measurements").drop("month")
+    want = S.measurements_daily(spark, SF0001)
+    assert got.count() == 792
+    assert got.select(*want.columns).exceptAll(want).count() == 0
