@@ -141,3 +141,23 @@ def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: st
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(table_path))
     return touched
+
+
+# ---- bucketed tables ----------------------------------------------------------
+def save_bucketed_table(df: DataFrame, table: str, buckets: int, key: str,
+                        partition_by=(), path: str | None = None) -> DataFrame:
+    """Save ``df`` as a catalog table bucketed (and sorted) by ``key``.
+
+    Two tables bucketed the same way on the join key join without moving
+    either side: the use is the fact and the sensor dimension on
+    ``sensor_id`` when the dimension is too large to broadcast. Bucket
+    metadata lives in the catalog, so this needs a persistent metastore to
+    outlive the session.
+    """
+    w = df.write.mode("overwrite").bucketBy(int(buckets), key).sortBy(key)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -124,3 +124,27 @@ def test_aggregations_combine_map_side(spark):
         plan = _plan(QUERIES[name](spark, SF0001))
         for p in parts:
             assert p in plan, (name, p)
+
+
+def test_bucketed_fact_and_dimension_join_without_exchange(spark, scratch):
+    """Past the broadcast bound, bucketed landing removes the fact shuffle."""
+    from cityair.sources import sinks
+    w = world(spark, SF0001)
+    dim = staging.sensor_cities(w.sensors, w.locations)
+    fact = sinks.save_bucketed_table(w.measurements.drop("month"), "bkt_fact", 8, "sensor_id",
+                                     path=scratch + "/bkt_fact")
+    dimt = sinks.save_bucketed_table(dim, "bkt_dim", 8, "sensor_id", path=scratch + "/bkt_dim")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        joined = fact.join(dimt, "sensor_id")
+        plan = _plan(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == fact.join(dim, "sensor_id").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.sql("DROP TABLE IF EXISTS bkt_fact")
+        spark.sql("DROP TABLE IF EXISTS bkt_dim")
