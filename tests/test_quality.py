@@ -67,3 +67,16 @@ def test_cross_border_is_null_aware(spark):
     assert quality.cross_border_count(locs).first().cross_border_stations == 2
     r = quality.mismatch_rates(locs).first()
     assert r.code_mismatch_rate == 0.5
+
+
+def test_landing_the_raw_layer_changes_no_result(spark):
+    """Queries over the landed Parquet raw layer equal the same plans run
+    straight from the test tables."""
+    from cityair.catalog import BUILDERS, World, rounded
+    lazy = World(spark, SF0001, land_raw=False)
+    landed = world(spark, SF0001)
+    for name in ("stg_air_quality", "pollution_ranking", "capital_survey", "monthly_top15",
+                 "quality_profile", "tagged_stations"):
+        a = rounded(BUILDERS[name](lazy))
+        b = rounded(BUILDERS[name](landed))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
