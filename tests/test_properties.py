@@ -155,3 +155,29 @@ def test_country_flattening_matches_plain_python(spark, countries):
     want = sorted((i, *_flat_country(c)) for i, c in enumerate(countries)
                   if _flat_country(c)[1] is not None)
     assert got == want
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(caps=st.lists(st.tuples(coord, coord, st.sampled_from(["AA", "BB"])), min_size=1, max_size=5),
+       pts=st.lists(st.tuples(coord, coord, st.sampled_from(["AA", "BB", None])),
+                    min_size=1, max_size=30),
+       cap_n=st.sampled_from([None, 1, 3]), same=st.booleans())
+def test_grid_join_options_equal_brute_force(spark, caps, pts, cap_n, same):
+    h = 0.75
+    cdf = spark.createDataFrame([(f"c{j}", f"{code}{j}", f"c{j}", a, b)
+                                 for j, (a, b, code) in enumerate(caps)], schemas.CAPITALS)
+    sdf = spark.createDataFrame([location(i, None, lat=a, lon=b,
+                                          code=None if c is None else f"{c}{j}")
+                                 for i, (a, b, c) in enumerate(pts) for j in [0]],
+                                schemas.LOCATIONS)
+    # station codes: "<code>0" so only capital 0 can share a code with them
+    got = {(r.location_id, r.capital_cca2) for r in geo.bbox_match(
+        cdf, sdf, half_width=h, same_country=same, max_per_capital=cap_n).collect()}
+    want = {}
+    for j, (a, b, code) in enumerate(caps):
+        cca2 = f"{code}{j}"
+        hits = sorted(i for i, (y, x, c) in enumerate(pts)
+                      if a - h <= y <= a + h and b - h <= x <= b + h
+                      and (not same or (c is not None and f"{c}0" == cca2)))
+        want[cca2] = hits[:cap_n] if cap_n else hits
+    assert got == {(i, k) for k, v in want.items() for i in v}
