@@ -26,7 +26,7 @@ def _spark() -> SparkSession:
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="cityair")
     sub = ap.add_subparsers(dest="step", required=True)
-    ing = sub.add_parser("ingest")
+    ing = sub.add_parser("ingest", help="landed files -> upserted raw tables")
     ing.add_argument("--countries", required=True)
     ing.add_argument("--locations", required=True)
     ing.add_argument("--days", required=True)
@@ -37,11 +37,13 @@ def main(argv=None) -> int:
     ing.add_argument("--capitals-limit", type=int, default=0)
     ing.add_argument("--window-days", type=int, default=None)
     ing.add_argument("--same-country", action="store_true")
+    helps = {"build": "raw tables -> staging and the city-day table",
+             "check": "the seventeen data-quality checks (exit 1 on failure)"}
     for name in ("build", "check"):
-        p = sub.add_parser(name)
+        p = sub.add_parser(name, help=helps[name])
         p.add_argument("--raw", required=True)
         p.add_argument("--table", default=None, help="city-day table path")
-    sv = sub.add_parser("survey")
+    sv = sub.add_parser("survey", help="per-capital coverage report (CSV) and summary")
     sv.add_argument("--countries", required=True)
     sv.add_argument("--locations", required=True)
     sv.add_argument("--as-of", required=True)
