@@ -86,3 +86,26 @@ def test_city_trend_binds_parameters(spark):
     df = cda(spark, [("O'Hare", "X", "pm25", D2, 2.0, 2.0, 1), ("O'Hare", "X", "pm25", D1, 1.0, 1.0, 1)])
     rows = serving.city_trend(spark, df, "O'Hare", "pm25").collect()
     assert [r.avg_value for r in rows] == [1.0, 2.0]
+
+
+def _monthly(spark, rows):
+    return spark.createDataFrame(rows, "parameter string, ym string, city string, country string, "
+                                       "lat double, lon double, avg_value double")
+
+
+def test_per_pollutant_latest_month_and_caps(spark):
+    m = _monthly(spark, [("pm25", "2024-01", "A", "X", 0.0, 0.0, 10.0),
+                         ("pm25", "2024-02", "A", "X", 0.0, 0.0, 20.0),
+                         ("no2", "2023-12", "A", "X", 0.0, 0.0, 100.0),
+                         ("no2", "2023-11", "B", "X", 0.0, 0.0, 300.0)])
+    latest = {(r.parameter, r.ym) for r in serving.latest_month(m).collect()}
+    assert latest == {("pm25", "2024-02"), ("no2", "2023-12")}
+    caps = {r.parameter: r.cmax for r in serving.colour_caps(m).collect()}
+    assert abs(caps["pm25"] - 19.5) < 1e-9 and abs(caps["no2"] - 290.0) < 1e-9
+    frames = {(r.parameter, r.ym): r.marker_size for r in serving.map_frames(m).collect()}
+    assert abs(frames[("no2", "2023-11")] - 30.0) < 1e-9        # clipped at its own cap
+    assert frames[("pm25", "2024-01")] < frames[("pm25", "2024-02")] <= 30.0
+    top = serving.monthly_top(m, 1).collect()
+    assert {(r.parameter, r.ym, r.city) for r in top} == {
+        ("pm25", "2024-01", "A"), ("pm25", "2024-02", "A"), ("no2", "2023-12", "A"),
+        ("no2", "2023-11", "B")}
