@@ -109,3 +109,13 @@ def test_per_pollutant_latest_month_and_caps(spark):
     assert {(r.parameter, r.ym, r.city) for r in top} == {
         ("pm25", "2024-01", "A"), ("pm25", "2024-02", "A"), ("no2", "2023-12", "A"),
         ("no2", "2023-11", "B")}
+
+
+def test_trend_keeps_both_countries_of_a_city(spark):
+    """The trend filters on city and pollutant only: a city spread over two
+    countries gives two rows per date, ordered by date then country."""
+    df = cda(spark, [("Rome", "Vatican", "pm25", D1, 2.0, 2.0, 1),
+                     ("Rome", "Italy", "pm25", D1, 1.0, 1.0, 1),
+                     ("Rome", "Italy", "pm25", D2, 3.0, 3.0, 1)])
+    rows = serving.city_trend(spark, df, "Rome", "pm25").collect()
+    assert [(r.reading_date, r.avg_value) for r in rows] == [(D1, 1.0), (D1, 2.0), (D2, 3.0)]
