@@ -181,3 +181,17 @@ def test_grid_join_options_equal_brute_force(spark, caps, pts, cap_n, same):
                       and (not same or (c is not None and f"{c}0" == cca2)))
         want[cca2] = hits[:cap_n] if cap_n else hits
     assert got == {(i, k) for k, v in want.items() for i in v}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(as_of=st.datetimes(min_value=dt.datetime(2023, 12, 1), max_value=dt.datetime(2024, 3, 1)),
+       days=st.integers(0, 60))
+def test_month_partition_bound_never_drops_rows(spark, as_of, days):
+    from cityair.catalog import world
+    from cityair.operators.merge import within_window
+    from conftest import SF0001
+    m = world(spark, SF0001).measurements           # landed by month
+    ts = as_of.strftime("%Y-%m-%d %H:%M:%S")
+    pruned = within_window(m, "date_utc", ts, days, partition_col="month")
+    plain = within_window(m, "date_utc", ts, days)
+    assert pruned.count() == plain.count()
