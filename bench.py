@@ -73,7 +73,8 @@ def main() -> None:
                       "unit": "sec", "queries": times,
                       "first_run_total": round(sum(first.values()) + times["ingest_raw"]
                                                + times["build_models"], 3),
-                      "repeat": REPEAT, "sf": float(m.group(1)) if m else sf_dir}))
+                      "repeat": REPEAT, "cpus": int(cpus),
+                      "sf": float(m.group(1)) if m else sf_dir}))
     spark.stop()
 
 
