@@ -16,6 +16,17 @@ from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 from cityair.session import checkpoint_dir
 
 
+def clustered(df: DataFrame, partition_by=()) -> DataFrame:
+    """Group rows by their output partition before a partitioned write.
+
+    Without it every task writes one file per partition value it holds
+    (tasks x values small files). The ``rebalance`` hint shuffles by the
+    partition columns and lets AQE split a hot value into several
+    advisory-sized tasks and merge small ones, so files stay few and even.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/cityair/{name}-{uuid.uuid4().hex}"
 
@@ -29,7 +40,7 @@ def materialize(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    w = df.write.mode("overwrite")
+    w = clustered(df, partition_by).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -39,7 +50,7 @@ def materialize(df: DataFrame, name: str, partition_by=()) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite") -> None:
-    w = df.write.mode(mode)
+    w = clustered(df, partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -137,7 +148,7 @@ def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: st
     # Staging is only needed when the merge reads the table it overwrites.
     staged = merged if existing is None else materialize(
         merged, "upsert_stage", partition_by=(partition_col,))
-    (staged.write.mode("overwrite")
+    (clustered(staged, (partition_col,)).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(table_path))
     return touched

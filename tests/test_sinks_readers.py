@@ -72,3 +72,12 @@ def test_run_survey_writes_report(spark, scratch):
     assert summary.first().capitals_surveyed == 26
     assert top.count() == 15
     assert any(f.endswith(".csv") for f in os.listdir(scratch + "/report"))
+
+
+def test_partitioned_writes_are_clustered(spark, scratch):
+    """One file per partition value here (not one per task and value)."""
+    import glob
+    df = spark.range(0, 4000).repartition(8).withColumn("p", (F.col("id") % 4).cast("string"))
+    sinks.write_table(df, scratch + "/t", partition_by=("p",))
+    counts = [len(glob.glob(d + "/*.parquet")) for d in glob.glob(scratch + "/t/p=*")]
+    assert len(counts) == 4 and max(counts) == 1
