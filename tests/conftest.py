@@ -26,11 +26,17 @@ def scratch():
 
 
 @pytest.fixture(scope="session")
-def duck():
+def duck_at():
+    """DuckDB connection with the driver's tables of one folder as views."""
     import duckdb
-    con = duckdb.connect()
-    con.sql("SET TimeZone='UTC'")
-    for t in ("region nation customer supplier part orders lineitem events documents "
-              "embeddings pages benchmark labels conversations").split():
-        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
-    return con
+    cons = {}
+
+    def get(sf_dir):
+        if sf_dir not in cons:
+            con = duckdb.connect()
+            for t in ("region nation customer supplier part orders lineitem events documents "
+                      "embeddings pages benchmark labels conversations").split():
+                con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+            cons[sf_dir] = con
+        return cons[sf_dir]
+    return get
