@@ -5,7 +5,8 @@ landed once per session; the city-day table is built from it once, like the
 transformation step does, and the marts and serving queries read that
 table. Every query runs over the whole data. Double columns are rounded to
 four decimals here (not in the library) so that results compare exactly with
-the DuckDB oracle, whose float summation order differs in the last bits.
+the DuckDB oracle, whose float summation order differs in the last bits, and
+timestamps leave as zone-less UTC wall clock.
 """
 
 from __future__ import annotations
