@@ -1,7 +1,8 @@
 """Regenerates the tables of PLANS.md from each registered query's own
 executed (post-AQE) plan at $BENCH_SF_DIR; prints Markdown to stdout.
 
-Usage: ``python plans_report.py > /tmp/plans.md`` (then merge by hand)."""
+Usage: ``python plans_report.py`` prints the tables; ``--write`` replaces
+everything after the prose header of PLANS.md with them."""
 
 from __future__ import annotations
 
@@ -48,6 +49,22 @@ def shape(name: str, plan: str) -> str:
 
 
 def main() -> None:
+    if "--write" in sys.argv:
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            report()
+        path = os.path.join(os.path.dirname(os.path.abspath(__file__)), "PLANS.md")
+        text = open(path).read()
+        head = text[:text.index("| query | shuffles |")]
+        with open(path, "w") as f:
+            f.write(head + buf.getvalue())
+    else:
+        report()
+
+
+def report() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = build_session("local[8]")
     w = world(spark, sf_dir)
