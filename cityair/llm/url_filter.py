@@ -62,16 +62,14 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 def ngrams(host: Column, path: Column, sizes=SIZES) -> Column:
     """Character n-grams of host and path, each marked with its part."""
-    parts = []
-    for mark, text in (("h", F.concat(F.lit("^"), host, F.lit("$"))),
-                       ("p", F.concat(F.lit("^"), path, F.lit("$")))):
-        for n in sizes:
-            last = F.length(text) - F.lit(n - 1)
-            parts.append(F.when(last >= 1, F.transform(
-                F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-                lambda i, t=text, m=mark, n=n: F.concat(F.lit(m), F.substr(t, i, F.lit(n)))))
-                .otherwise(F.array().cast("array<string>")))
-    return F.concat(*parts)
+    def part(mark: str, text: Column, n: int) -> Column:
+        last = F.length(text) - F.lit(n - 1)
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
+                            lambda i: F.concat(F.lit(mark), F.substr(text, i, F.lit(n))))
+        return F.when(last >= 1, grams).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*(part(mark, F.concat(F.lit("^"), text, F.lit("$")), n)
+                      for mark, text in (("h", host), ("p", path)) for n in sizes))
 
 
 def labelled_urls(urls: DataFrame, per_verdict: int = PER_VERDICT) -> DataFrame:
