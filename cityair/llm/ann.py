@@ -6,10 +6,10 @@ at its own projection and widens round by round by a constant factor
 (virtual rehashing: a wider bucket is a wider window on the same array).
 A vector that falls into the windows of at least ``threshold`` lines collides
 often enough and is verified: its exact inner product is taken in double
-precision. A query stops when the verified vectors that matter cannot be
-improved by what a window of that width would still find, by the usual two
-conditions: enough verified vectors lie within the radius the window
-stands for, or ``enough`` vectors were verified.
+precision. A query stops by the usual two conditions: k verified vectors lie
+so near that vectors nearer still would have collided by now (the window is
+``SURE`` times the k-th distance), or a ``verify`` share of the block's
+vectors was verified.
 
 Largest inner product becomes nearest distance by one more component that
 fills every vector to the largest norm M of all rows (queries get 0), so the
@@ -33,10 +33,14 @@ from pyspark.sql import functions as F
 from cityair.llm.common import landed
 from cityair.llm.vectors import search, top, usable
 
-PROJECTIONS = 40
-THRESHOLD = 0.7
-WIDEN = 1.3
-VERIFY = 400
+PROJECTIONS = 96
+THRESHOLD = 0.85
+FIRST, WIDEN = 0.6, 1.4
+ROW_BLOCK = 1 << 14
+LEVELS = 64
+TILE = 64
+VERIFY = 0.08
+SURE = 1.8
 SEED = 71
 
 
@@ -44,56 +48,88 @@ def _lines(dim: int, count: int) -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((dim, count))
 
 
-def _block(norm: float, projections: int, share: float, verify: int):
+def _index(place: np.ndarray, levels: int):
+    """Each line's sorted array cut into ``levels`` buckets of equal depth:
+    bucket edges, and for every edge the rows before it as a bit set."""
+    lines, n = place.shape
+    step = -(-n // levels)
+    order = np.argsort(place, axis=1, kind="stable")
+    cuts = np.minimum(np.arange(levels + 1) * step, n)
+    edges = np.take_along_axis(place, order[:, np.minimum(cuts, n - 1)], axis=1)
+    edges[:, cuts == n] = np.inf
+    edges[:, 0] = -np.inf
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(n)[None, :], axis=1)
+    words = -(-n // 64)
+    bits = np.zeros((lines, levels + 1, words * 8), np.uint8)
+    for t, cut in enumerate(cuts):
+        packed = np.packbits(rank < cut, axis=1, bitorder="little")
+        bits[:, t, :packed.shape[1]] = packed
+    return edges, bits.view(np.uint64)
+
+
+def _collided(edges, bits, centres, radius: float, need: int, n: int) -> np.ndarray:
+    """(queries, n) booleans: the rows in the windows of at least ``need``
+    lines. A window is a run of whole buckets, so wider windows only move its
+    ends; lines are added up in bit-sliced counters."""
+    queries = len(centres)
+    planes = np.zeros((len(edges).bit_length(), queries, bits.shape[2]), np.uint64)
+    for j, line in enumerate(edges):
+        a = np.searchsorted(line, centres[:, j] - radius, "right") - 1
+        b = np.searchsorted(line, centres[:, j] + radius, "right")
+        carry = bits[j, np.minimum(b, bits.shape[1] - 1)] ^ bits[j, a]
+        for plane in planes[:(j + 1).bit_length()]:
+            more = plane & carry
+            plane ^= carry
+            carry = more
+    above, equal = np.zeros_like(planes[0]), ~np.zeros_like(planes[0])
+    for p in range(len(planes) - 1, -1, -1):
+        if need >> p & 1:
+            equal &= planes[p]
+        else:
+            above |= equal & planes[p]
+            equal &= ~planes[p]
+    return np.unpackbits((above | equal).view(np.uint8), axis=1, bitorder="little")[:, :n]
+
+
+def _block(norm: float, projections: int, share: float, verify: float):
     def best(ids, rows, query_ids, queries, k):
         # Equal vectors once, with their smallest ids.
-        whole, first, inverse, n = np.unique(rows, axis=0, return_index=True,
-                                             return_inverse=True, return_counts=True)
-        inverse = inverse.ravel()
-        members = ids[np.lexsort((ids, inverse))]
+        whole, inverse, n = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
+        members = ids[np.lexsort((ids, inverse.ravel()))]
         at = np.r_[0, np.cumsum(n)]
-        scale = norm or 1.0
-        unit = whole / scale
+        unit = whole / norm
         fill = np.sqrt(np.maximum(0.0, 1 - np.einsum("ij,ij->i", unit, unit)))
         lines = _lines(rows.shape[1] + 1, projections)
-        place = unit @ lines[:-1] + fill[:, None] * lines[-1]
-        order = np.argsort(place, axis=0, kind="stable").T.copy()
-        sorted_ = np.sort(place, axis=0).T.copy()
-        qlen = np.sqrt(np.einsum("ij,ij->i", queries, queries))
-        qplace = (queries / qlen[:, None]) @ lines[:-1]
-        need = int(np.ceil(share * projections))
-        total = len(whole)
+        edges, bits = _index((unit @ lines[:-1] + fill[:, None] * lines[-1]).T, LEVELS)
+        length = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+        centres = queries / length[:, None] @ lines[:-1]
+        need, total = int(np.ceil(share * projections)), len(whole)
+        enough = min(total, int(verify * total) + 4 * k)
+        found, radius, live = [None] * len(queries), FIRST, np.arange(len(queries))
+        while len(live):
+            still = []
+            for start in range(0, len(live), TILE):
+                tile = live[start:start + TILE]
+                hits = _collided(edges, bits, centres[tile], radius, need, total)
+                for q, hit in zip(tile, hits):
+                    own = np.flatnonzero(hit)
+                    near = len(own) >= enough
+                    if not near and len(own) > k:  # distance of the k-th verified vector
+                        score = whole[own] @ queries[q] / (norm * length[q])
+                        kth = np.partition(score, len(own) - k - 1)[len(own) - k - 1]
+                        near = SURE * np.sqrt(max(0.0, 2 - 2 * kth)) <= radius
+                    if near:
+                        found[q] = own
+                    else:
+                        still.append(q)
+            live, radius = np.array(still, np.int64), radius * WIDEN
         out = []
         for i, q in enumerate(query_ids):
-            radius = 0.25
-            counts = np.zeros(total, np.int32)
-            low = np.array([np.searchsorted(s, c) for s, c in zip(sorted_, qplace[i])])
-            high = low.copy()
-            while True:
-                parts = []
-                for j in range(projections):
-                    s, c = sorted_[j], qplace[i, j]
-                    a, b = np.searchsorted(s, (c - radius, c + radius))
-                    a, b = min(a, low[j]), max(b, high[j])
-                    parts += [order[j, a:low[j]], order[j, high[j]:b]]
-                    low[j], high[j] = a, b
-                counts += np.bincount(np.concatenate(parts), minlength=total).astype(np.int32)
-                found = np.flatnonzero(counts >= need)
-                if len(found) >= min(total, verify + k) or (low == 0).all() and (
-                        high == total).all():
-                    break
-                if len(found) > k:
-                    # Distance of the k-th verified vector, from its score.
-                    scores = whole[found] @ queries[i] / (scale * qlen[i])
-                    kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                    if np.sqrt(max(0.0, 2 - 2 * kth)) * 1.04 <= radius:
-                        break
-                radius *= WIDEN
-            scores = np.einsum("ij,j->i", whole[found], queries[i])
-            # Members of the found vectors: k + 1 smallest ids of each do.
+            score = np.einsum("ij,j->i", whole[found[i]], queries[i])
             few, line = [], []
-            for v, s in zip(*top(found, scores, k + 1)):
-                own = members[at[v]:at[v + 1]][:k + 1]
+            for v, s in zip(*top(found[i], score, k + 1, tie=members[at[found[i]]])):
+                own = members[at[v]:at[v + 1]][:k + 1]  # the smallest ids of equal vectors
                 few.append(own)
                 line.append(np.full(len(own), s))
             few, line = np.concatenate(few), np.concatenate(line)
@@ -107,9 +143,9 @@ def _block(norm: float, projections: int, share: float, verify: int):
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
             vec_col: str = "embedding", projections: int = PROJECTIONS,
-            threshold: float = THRESHOLD, verify: int = VERIFY) -> DataFrame:
+            threshold: float = THRESHOLD, verify: float = VERIFY) -> DataFrame:
     """query_id, rank, vec_id, score for every query id divisible by ``every``."""
     own = landed(usable(vectors, id_col, vec_col, zero_ok=False), "ann-vectors")
     norm = own.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    return search(own, every, k, _block(float(np.sqrt(norm or 0.0)), projections, threshold,
-                                        verify), "double")
+    return search(own, every, k, _block(float(np.sqrt(norm or 1.0)), projections, threshold,
+                                        verify), "double", row_block=ROW_BLOCK)

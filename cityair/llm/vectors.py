@@ -74,14 +74,16 @@ def dense(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return ids[order], out[order]
 
 
-def top(ids: np.ndarray, scores: np.ndarray, k: int):
-    """Partition selection: the k largest scores, ties to the smaller id."""
+def top(ids: np.ndarray, scores: np.ndarray, k: int, tie: np.ndarray | None = None):
+    """Partition selection: the k largest scores, ties to the smaller id (or
+    the smaller ``tie``)."""
+    tie = ids if tie is None else tie
     if len(ids) > k:
         edge = np.partition(scores, len(ids) - k)[len(ids) - k]
         sure = np.flatnonzero(scores > edge)
         tied = np.flatnonzero(scores == edge)
-        tied = tied[np.argsort(ids[tied], kind="stable")][:k - len(sure)]
+        tied = tied[np.argsort(tie[tied], kind="stable")][:k - len(sure)]
         keep = np.concatenate([sure, tied])
-        ids, scores = ids[keep], scores[keep]
-    order = np.lexsort((ids, -scores))
+        ids, scores, tie = ids[keep], scores[keep], tie[keep]
+    order = np.lexsort((tie, -scores))
     return ids[order], scores[order]
