@@ -25,9 +25,9 @@ CHUNK_ROWS = 1 << 14
 REF_BITS = 20
 ASKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()),
                    ("counts", pa.binary())])
-ANSWER = pa.schema([("chunk", pa.int64()), ("keys", pa.binary()), ("totals", pa.binary()),
+ANSWER = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("totals", pa.binary()),
                     ("first", pa.binary())])
-ANSWER_DDL = "chunk long, keys binary, totals binary, first binary"
+ANSWER_DDL = "chunk long, bucket int, totals binary, first binary"
 
 
 def pack_rows(df: DataFrame, name: str, text: str = "text", chunk_bytes: int = CHUNK_BYTES,
@@ -96,12 +96,14 @@ def asked_batch(rows: list) -> pa.RecordBatch:
 
 
 def count_keys(chunks: DataFrame, keys_of, columns, ranges: int, name: str) -> DataFrame:
-    """For each chunk, its keys that occur at least twice in all chunks.
+    """How often each chunk's keys occur in all chunks.
 
     ``keys_of(row: dict) -> uint64 array`` gives a chunk's keys, repeats
-    included. Returns landed rows ``(chunk, keys, totals, first)``: sorted
-    keys, their count over all chunks, and whether the chunk is the one with
-    the smallest number that sent the key.
+    included. Returns landed rows ``(chunk, bucket, totals, first)``: for the
+    chunk's distinct keys in ascending order, range by range, their count over
+    all chunks, and whether the chunk is the one with the smallest number that
+    sent the key. The keys themselves do not travel back; ``look_up`` makes
+    them again.
     """
     def ask(batches):
         for batch in batches:
@@ -110,51 +112,38 @@ def count_keys(chunks: DataFrame, keys_of, columns, ranges: int, name: str) -> D
                 yield asked_batch(list(split_keys(row["chunk"].as_py(), keys_of(row), ranges)))
 
     def answer(group: pa.Table) -> pa.Table:
-        own = group.column("chunk").to_pylist()
+        own = np.array(group.column("chunk").to_pylist())
         parts = [np.frombuffer(x, np.uint64) for x in group.column("keys").to_pylist()]
-        keys = np.concatenate(parts)
         counts = np.concatenate([np.frombuffer(x, np.uint32)
                                  for x in group.column("counts").to_pylist()])
-        part = np.repeat(np.argsort(np.argsort(own)), [len(p) for p in parts])
+        keys = np.concatenate(parts)
+        part = np.repeat(np.argsort(np.argsort(own, kind="stable"), kind="stable"),
+                         [len(p) for p in parts])
         order = np.lexsort((part, keys))
         k = keys[order]
         new = np.r_[True, k[1:] != k[:-1]]
-        at = np.cumsum(new) - 1
-        totals = np.bincount(at, weights=counts[order]).astype(np.uint32)[at]
         total, first = np.empty(len(k), np.uint32), np.empty(len(k), np.uint8)
-        total[order], first[order] = totals, new
-        out, start = [], 0
-        for c, p in zip(own, parts):
-            stop = start + len(p)
-            seen = np.flatnonzero(total[start:stop] >= 2)
-            if len(seen):
-                out.append((c, p[seen].tobytes(), total[start:stop][seen].tobytes(),
-                            first[start:stop][seen].tobytes()))
-            start = stop
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), ANSWER.types)]
-                                    if out else [pa.array([], t) for t in ANSWER.types],
-                                    schema=ANSWER)
+        total[order] = np.bincount(np.cumsum(new) - 1, weights=counts[order]).astype(
+            np.uint32)[np.cumsum(new) - 1]
+        first[order] = new
+        cut = np.cumsum([0, *(len(p) for p in parts)])
+        bounds = list(zip(cut[:-1], cut[1:]))
+        return pa.table([pa.array(own), group.column("bucket"),
+                         [total[a:b].tobytes() for a, b in bounds],
+                         [first[a:b].tobytes() for a, b in bounds]], schema=ANSWER)
 
     sent = chunks.select("chunk", *columns).mapInArrow(
         ask, "bucket int, chunk long, keys binary, counts binary")
     return landed(sent.groupBy("bucket").applyInArrow(answer, ANSWER_DDL), name)
 
 
-def answers(table: pa.Table):
-    """The answers of one chunk as sorted arrays (keys, totals, first)."""
-    if table.num_rows == 0:
-        return np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint8)
-    cols = [np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
-            for c, t in (("keys", np.uint64), ("totals", np.uint32), ("first", np.uint8))]
-    order = np.argsort(cols[0])
-    return tuple(c[order] for c in cols)
-
-
-def look_up(keys: np.ndarray, answer) -> tuple[np.ndarray, np.ndarray]:
-    """Count over all chunks (1 if the answer has no such key), and first."""
-    known, totals, first = answer
-    if not len(known):
-        return np.ones(len(keys), np.uint32), np.zeros(len(keys), np.uint8)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    hit = known[at] == keys
-    return np.where(hit, totals[at], 1).astype(np.uint32), np.where(hit, first[at], 0)
+def look_up(keys: np.ndarray, answer: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Count over all chunks, and first, of each of a chunk's keys: ``keys``
+    must be those it asked about, ``answer`` its answers."""
+    if not len(keys):
+        return np.empty(0, np.uint32), np.empty(0, np.uint8)
+    order = np.argsort(answer["bucket"].to_numpy())
+    total, first = (np.concatenate([np.frombuffer(x, t) for x in answer[c].take(
+        pa.array(order)).to_pylist()]) for c, t in (("totals", np.uint32), ("first", np.uint8)))
+    at = np.unique(keys, return_inverse=True)[1].ravel()
+    return total[at], first[at]

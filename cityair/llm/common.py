@@ -8,8 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityair.session import checkpoint_dir
-from cityair.sources.sinks import materialize, scratch_path
+from cityair.sources.sinks import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
@@ -22,12 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder, read it back, and let the
     driver's cleaner drop shuffle files that nothing refers to any more."""
-    out = materialize(df, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.landed_at = path
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
     return out
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete landed tables that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.landed_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -54,5 +65,5 @@ def unit(x: np.ndarray, salt: int) -> np.ndarray:
     return ((mix64(x, salt) >> U64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
-__all__ = ["F", "WORD", "U64", "table", "landed", "shuffle_partitions", "unused", "mix64",
-           "unit", "checkpoint_dir", "scratch_path", "materialize"]
+__all__ = ["F", "WORD", "U64", "table", "landed", "discard", "shuffle_partitions", "unused",
+           "mix64", "unit"]

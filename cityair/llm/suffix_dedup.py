@@ -34,9 +34,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from cityair.llm.chunks import (answers, count_keys, key_ranges, look_up, pack_rows, text_bytes,
-                                unpack)
-from cityair.llm.common import landed, mix64
+from cityair.llm.chunks import count_keys, key_ranges, look_up, pack_rows, text_bytes, unpack
+from cityair.llm.common import discard, landed, mix64
 
 WINDOW = 200
 CORE = 64
@@ -135,8 +134,19 @@ def _runs(flags: np.ndarray):
     return edge[::2], edge[1::2] - edge[::2]
 
 
-_PIECES = ("doc", np.uint32), ("pos", np.uint32), ("num", np.uint16), ("anchor", np.uint64), \
-    ("whole", np.uint64)
+# A chunk's pieces: how many each document has, and for each piece its windows
+# and fingerprints (a document's pieces follow each other without a gap).
+_FOUND = ("docs", np.uint32), ("num", np.uint8), ("anchor", np.uint64), ("whole", np.uint64)
+_PLACE = ("doc", np.uint32), ("pos", np.uint32), ("num", np.uint8)
+
+
+def _places(docs: np.ndarray, num: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Document and position of every piece."""
+    doc = np.repeat(np.arange(len(docs)), docs)
+    before = np.cumsum(num, dtype=np.int64) - num
+    first = np.r_[0, np.cumsum(docs, dtype=np.int64)[:-1]]
+    base = before[np.minimum(first, max(0, len(num) - 1))] if len(num) else first
+    return doc, before - base[doc]
 
 
 def _find_pieces(packed: DataFrame, text: str, window: int, core: int) -> DataFrame:
@@ -144,18 +154,18 @@ def _find_pieces(packed: DataFrame, text: str, window: int, core: int) -> DataFr
         for batch in batches:
             for i in range(batch.num_rows):
                 texts = text_bytes(unpack(batch.column("rows")[i]).column(text))
-                found = [(d, *pieces_of(t, window, core)) for d, t in enumerate(texts) if t]
-                cols = [np.concatenate([np.full(len(f[1]), f[0]) for f in found])
-                        if found else np.empty(0)]
-                cols += [np.concatenate([f[j] for f in found]) if found else np.empty(0)
-                         for j in range(1, 5)]
+                found = [pieces_of(t or b"", window, core) for t in texts]
+                cols = [np.array([len(f[0]) for f in found])]
+                cols += [np.concatenate([f[j] for f in found]) for j in (1, 2, 3)]
+                # An anchor is a minimum; mixed anew its fingerprint is even.
+                cols[2] = mix64(cols[2], 3)
                 yield pa.RecordBatch.from_pydict(
                     {"chunk": pa.array([batch.column("chunk")[i].as_py()], pa.int64())}
                     | {k: pa.array([c.astype(t).tobytes()], pa.binary())
-                       for (k, t), c in zip(_PIECES, cols)})
+                       for (k, t), c in zip(_FOUND, cols)})
 
     return landed(packed.select("chunk", "rows").mapInArrow(
-        find, "chunk long, doc binary, pos binary, num binary, anchor binary, whole binary"),
+        find, "chunk long, docs binary, num binary, anchor binary, whole binary"),
         "suffix-pieces")
 
 
@@ -172,12 +182,13 @@ def _pick_repeated(pieces: DataFrame, anchors: DataFrame) -> DataFrame:
         if own.num_rows == 0 or answer.num_rows == 0:
             return schema.empty_table()
         row = {c: own.column(c)[0] for c in own.column_names}
-        arrays = {k: _array(row[k], t) for k, t in _PIECES}
-        total, _ = look_up(arrays["anchor"], answers(answer))
+        arrays = {k: _array(row[k], t) for k, t in _FOUND}
+        arrays["doc"], arrays["pos"] = _places(arrays["docs"], arrays["num"])
+        total, _ = look_up(arrays["anchor"], answer)
         at = np.flatnonzero(total >= 2)
         key = mix64(arrays["anchor"][at], 2) ^ arrays["whole"][at]
-        return pa.table([[row["chunk"].as_py()], *([arrays[k][at].tobytes()] for k in
-                                                   ("doc", "pos", "num")),
+        return pa.table([[row["chunk"].as_py()], *([arrays[k][at].astype(t).tobytes()]
+                                                   for k, t in _PLACE),
                          [key.tobytes()], [total[at].tobytes()]], schema=schema)
 
     return landed(pieces.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(
@@ -195,9 +206,9 @@ def _sort_out(repeated: DataFrame, wholes: DataFrame) -> DataFrame:
         if own.num_rows == 0:
             return schema.empty_table()
         row = {c: own.column(c)[0] for c in own.column_names}
-        arrays = {k: _array(row[k], t) for k, t in _PIECES[:3]}
+        arrays = {k: _array(row[k], t) for k, t in _PLACE}
         key, seen = _array(row["key"], np.uint64), _array(row["seen"], np.uint32)
-        total, first = look_up(key, answers(answer))
+        total, first = look_up(key, answer)
         lend = (total >= 2) & (seen > total) & (first == 1)
         lend &= np.isin(np.arange(len(key)), np.unique(key, return_index=True)[1])
         out = [[row["chunk"].as_py()]]
@@ -211,21 +222,22 @@ def _sort_out(repeated: DataFrame, wholes: DataFrame) -> DataFrame:
 
 
 def _settle(docs: DataFrame, text: str, emit, ddl: str, window: int, core: int) -> DataFrame:
-    spark = docs.sparkSession
     packed = pack_rows(docs, "suffix-texts", text)
     pieces = _find_pieces(packed, text, window, core)
     ranges = key_ranges(packed, 50)
     anchors = count_keys(pieces, lambda r: _array(r["anchor"], np.uint64), ["anchor"], ranges,
                          "suffix-anchors")
     repeated = _pick_repeated(pieces, anchors)
+    discard(pieces, anchors)
     wholes = count_keys(repeated, lambda r: _array(r["key"], np.uint64), ["key"], ranges,
                         "suffix-wholes")
     sorted_out = _sort_out(repeated, wholes)
+    discard(repeated, wholes)
 
-    def open_windows(row):
-        texts = text_bytes(unpack(row["rows"]).column(text))
+    def open_windows(row, texts=None):
+        texts = texts or text_bytes(unpack(row["rows"]).column(text))
         return np.concatenate([
-            _piece_windows(texts, *(_array(row[f"{k}_{c}"], t) for c, t in _PIECES[:3]), window)
+            _piece_windows(texts, *(_array(row[f"{k}_{c}"], t) for c, t in _PLACE), window)
             for k in ("open", "lend")])
 
     with_text = packed.join(sorted_out, "chunk")
@@ -237,15 +249,15 @@ def _settle(docs: DataFrame, text: str, emit, ddl: str, window: int, core: int)
         texts = [t or b"" for t in text_bytes(rows.column(text))]
         runs: dict[int, list] = {}
         for i in range(more.num_rows):
-            if more.column("keys")[i].is_valid:
+            if more.column("totals")[i].is_valid:
                 continue
             row = {c: more.column(c)[i] for c in more.column_names if "_" in c}
-            doc, pos, num = (_array(row[f"full_{c}"], t) for c, t in _PIECES[:3])
+            doc, pos, num = (_array(row[f"full_{c}"], t) for c, t in _PLACE)
             for d, p, n in zip(doc.tolist(), pos.tolist(), num.tolist()):
                 runs.setdefault(d, []).append((p, n))
-            doc, pos, num = (_array(row[f"open_{c}"], t) for c, t in _PIECES[:3])
-            keys = _piece_windows(texts, doc, pos, num, window)
-            total, _ = look_up(keys, answers(more.filter(pa.compute.is_valid(more["keys"]))))
+            doc, pos, num = (_array(row[f"open_{c}"], t) for c, t in _PLACE)
+            total, _ = look_up(open_windows(row, texts), more.filter(
+                pa.compute.is_valid(more["totals"])))
             at = 0
             for d, p, n in zip(doc.tolist(), pos.tolist(), num.tolist()):
                 a, c = _runs(total[at:at + n] >= 2)
@@ -255,10 +267,9 @@ def _settle(docs: DataFrame, text: str, emit, ddl: str, window: int, core: int)
                          window)) for i, t in enumerate(texts)]
         return emit(rows, done)
 
-    found = sorted_out.select("chunk", *(c for c in sorted_out.columns if c != "chunk"))
-    lists = found.unionByName(seen, allowMissingColumns=True)
-    return (packed.select("chunk", "rows").groupBy("chunk")
-            .cogroup(lists.groupBy("chunk")).applyInArrow(finish, ddl)), spark
+    lists = sorted_out.unionByName(seen, allowMissingColumns=True)
+    return packed.select("chunk", "rows").groupBy("chunk").cogroup(
+        lists.groupBy("chunk")).applyInArrow(finish, ddl)
 
 
 def removed_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -275,7 +286,7 @@ def removed_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return _settle(own, "text", emit, "doc_id long, n_bytes long, n_removed long, n_spans long, "
-                   "kept_sha256 string", window, core)[0]
+                   "kept_sha256 string", window, core)
 
 
 def dedup_texts(docs: DataFrame, text_col: str = "text", window: int = WINDOW,
@@ -296,4 +307,4 @@ def dedup_texts(docs: DataFrame, text_col: str = "text", window: int = WINDOW,
                 pa.compute.utf8_length(texts).cast(kind), rows.column(at)))
         return rows
 
-    return _settle(docs, text_col, emit, docs.schema, window, core)[0]
+    return _settle(docs, text_col, emit, docs.schema, window, core)
