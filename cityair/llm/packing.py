@@ -25,6 +25,8 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import array
+import base64
 import bisect
 import math
 import re
@@ -39,7 +41,7 @@ from cityair.llm.common import landed
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 400_000
+CACHE = 800_000
 SEED = 29
 _ENCODERS: dict = {}
 
@@ -52,37 +54,42 @@ def vocabulary() -> str:
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes.
 
-    The vocabulary's pre-tokenizer never joins a word with the single space
-    after it, so words with the space before them are encoded apart, and the
-    ids of up to ``CACHE`` of them are kept. Texts with two spaces in a row,
-    a space at the end or a special token's string are encoded whole.
+    The pre-tokenizer never joins a character that is not white space with a
+    space after it, so a text is the sum of its words, each with the space
+    before it; the ids of the first ``CACHE`` words met are kept. Words go
+    through the same vocabulary as ranks (the file beside ``path`` with the
+    ending ``.tiktoken``); texts with white space before a space or a special
+    token's string go whole through the tokenizer itself.
     """
 
     def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join(["  ", " $", *map(re.escape, special)]))
-        self.ids: dict[str, bytes] = {}
+        self.whole = re.compile("|".join([r"\s ", *map(re.escape, special)]))
+        with open(re.sub(r"[.]json$", ".tiktoken", path), "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.words = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN,
+                                       mergeable_ranks=ranks, special_tokens={})
+        self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def word(self, text: str) -> bytes:
+        return array.array("I", self.words.encode_ordinary(text)).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.whole.search(text) or text.endswith(" "):
-            return self._encode([text])[0]
-        words = text.split(" ")
-        words[1:] = [" " + w for w in words[1:]]
-        known = self.ids
-        if missing := [w for w in dict.fromkeys(words) if w not in known]:
-            if len(known) + len(missing) > CACHE:
-                known.clear()
-                missing = list(dict.fromkeys(words))
-            known.update(zip(missing, self._encode(missing)))
-        return b"".join(map(known.__getitem__, words))
+        if self.whole.search(text):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return array.array("I", ids).tobytes()
+        first, *rest = text.split(" ")
+        parts = list(map(self.known.get, rest))
+        if None in parts:
+            new = {w: self.word(" " + w) for w, p in zip(rest, parts) if p is None}
+            if len(self.known) < CACHE:
+                self.known.update(new)
+            parts = [new[w] if p is None else p for w, p in zip(rest, parts)]
+        return self.word(first) + b"".join(parts)
 
 
 def encoder(path: str) -> Encoder:
