@@ -6,9 +6,9 @@ A document is the weighted set of its five-word shingles. A shingle weighs
     idf = 1 + damping * (1 - ln(df) / ln(N))
 
 where df counts documents that hold the shingle and N documents, over the
-whole corpus. The damping (0.25) keeps idf between 1 and 1.25: with plain
-``ln(N / df)`` a passage copied thousands of times would weigh next to
-nothing against an edit, and copies would stop looking alike.
+whole corpus. The damping (0.25) keeps idf between 1 and 1.1:
+with plain ``ln(N / df)`` a text copied thousands of times would weigh next
+to nothing against an edit, and its near copies would stop looking alike.
 
 Steps: (1) count df over all documents (keys by range, deduplicated in their
 chunk); (2) sketch each document: improved consistent weighted sampling
@@ -40,9 +40,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityair.llm.chunks import (REF_BITS, answers, count_keys, key_ranges, look_up, pack_rows,
-                                text_bytes, unpack)
-from cityair.llm.common import landed, mix64, unit
+from cityair.llm.chunks import (REF_BITS, count_keys, key_ranges, look_up, pack_rows, text_bytes,
+                                unpack)
+from cityair.llm.common import discard, landed, mix64, unit
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -167,7 +167,7 @@ def _sketches(packed, df_answers, text, n_docs, damping, bands, rows):
         texts = text_bytes(unpack(own.column("rows")[0]).column(text))
         doc, key, words = shingles(texts)
         d, k, tf = _distinct(doc, key)
-        w = _weights(k, tf, answers(answer), n_docs, damping)
+        w = _weights(k, tf, answer, n_docs, damping)
         sig = bands_of(sketch(d, k, w, len(texts), bands * rows), bands, rows).view(np.int64)
         has = np.flatnonzero(words)
         same = [xxhash.xxh3_128_digest(texts[i]) for i in has]
@@ -220,19 +220,14 @@ def _verify(packed, df_answers, pairs, text, n_docs, damping, similarity) -> Dat
         wanted = asked.filter(pa.compute.is_valid(asked["ref"]))
         if own.num_rows == 0 or wanted.num_rows == 0:
             return blob.empty_table()
-        ref = wanted["ref"].to_numpy()
-        index = ref & ((1 << REF_BITS) - 1)
-        rows = unpack(own.column("rows")[0]).column(text)
-        used = np.unique(index)
-        texts = text_bytes(rows.take(pa.array(used)))
+        index = wanted["ref"].to_numpy() & ((1 << REF_BITS) - 1)
+        texts = text_bytes(unpack(own.column("rows")[0]).column(text))
         d, k, tf = _distinct(*shingles(texts)[:2])
-        w = _weights(k, tf, answers(asked.filter(pa.compute.is_valid(asked["keys"]))), n_docs,
-                     damping)
-        cut = np.searchsorted(d, np.arange(len(used) + 1))
-        at = np.searchsorted(used, index)
+        w = _weights(k, tf, asked.filter(pa.compute.is_valid(asked["totals"])), n_docs, damping)
+        cut = np.searchsorted(d, np.arange(len(texts) + 1))
         return pa.table([wanted["leader"], wanted["salt"], wanted["ref"],
-                         pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in at], pa.binary()),
-                         pa.array([w[cut[i]:cut[i + 1]].tobytes() for i in at], pa.binary())],
+                         pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary()),
+                         pa.array([w[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary())],
                         schema=blob)
 
     sent = packed.groupBy("chunk").cogroup(more.groupBy("chunk")).applyInArrow(
@@ -296,6 +291,7 @@ def _labels(docs: DataFrame, text: str, similarity: float, bands: int, rows: int
                                                 "left_anti")
     pairs = _candidates(reps)
     links = _verify(packed, counted, pairs, text, n_docs, damping, similarity)
+    discard(counted, pairs)
     labels = components(links, "neardup-components")
     # A class of near copies takes its members' exact copies along.
     label_of = labels.select(F.col("v").alias("rep"), "label")
