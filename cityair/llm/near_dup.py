@@ -6,7 +6,7 @@ A document is the weighted set of its five-word shingles. A shingle weighs
     idf = 1 + damping * (1 - ln(df) / ln(N))
 
 where df counts documents that hold the shingle and N documents, over the
-whole corpus. The damping (0.25) keeps idf between 1 and 1.1:
+whole corpus. The damping (0.1, a parameter) keeps idf between 1 and 1.1:
 with plain ``ln(N / df)`` a text copied thousands of times would weigh next
 to nothing against an edit, and its near copies would stop looking alike.
 
@@ -47,7 +47,7 @@ from cityair.llm.common import discard, landed, mix64, unit
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
-DAMPING = 0.25
+DAMPING = 0.1
 GROUP = 64
 _U = np.uint64
 _WHITE = np.zeros(256, bool)

@@ -97,7 +97,7 @@ def test_dedup_texts_keeps_columns_and_whole_characters(spark):
 
 
 # ---- op7 ---------------------------------------------------------------------
-def brute_classes(rows, similarity=0.8, damping=0.25):
+def brute_classes(rows, similarity=0.8, damping=near_dup.DAMPING):
     sets = []
     for r in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")
