@@ -167,7 +167,7 @@ def _slots(spark, quotas: list[Quota], seed: int) -> DataFrame | None:
         "lo"), "n")
     wanted = spark.createDataFrame([(q.index, q.slots) for q in quotas], "src long, slots long")
     # Draws end at the source's slots; what is missing goes to hashed shards.
-    spans = spans.join(F.broadcast(wanted), "src").select(
+    spans = spans.join(wanted, "src").select(
         "src", "shard", "lo", F.least(F.col("lo") + F.col("n"), "slots").alias("hi"))
     missing = wanted.join(drawn.groupBy("src").agg(F.sum("n").alias("n")), "src", "left").select(
         "src", F.explode(F.when(F.coalesce("n", F.lit(0)) < F.col("slots"), F.sequence(
@@ -242,7 +242,7 @@ def mix_words(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int
     sources, parts = mix_plan(sizes.select("ref", "source", "size"), weights, block, seed)
     taken = parts.groupBy("ref").agg(F.sum("n").alias("taken"))
     return sizes.join(taken, "ref", "left").join(
-        F.broadcast(sources.withColumnRenamed("source", "source_")),
+        sources.withColumnRenamed("source", "source_"),
         sizes["source"].eqNullSafe(F.col("source_"))).select(
         "doc_id", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
