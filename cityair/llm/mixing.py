@@ -12,7 +12,8 @@ A source's slots end exactly where its target is reached: draws beyond it
 are dropped, missing ones are dealt to shards by a hash, and the last block
 is cut to the words still wanted. Nothing is drawn oftener than a target of
 three times the source asks for, so no document is taken more than three
-times. Seeds are fixed and numbering follows landed rows, so reruns agree.
+times. Seeds are fixed and documents are ordered by a hash of what they are
+(id and size, or text), not by where they were read, so reruns agree.
 
 Places in a stream are prefix sums in two levels, about sqrt(n) buckets of
 sqrt(n) documents in each source, so a source that holds a third of all rows
@@ -34,6 +35,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,16 +126,15 @@ class Quota:
 def _placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """(ref, src, size, at): each document's place in its source's stream."""
     own = sizes.join(sources.select("source", "src", "buckets"), sizes["source"].eqNullSafe(
-        sources["source"])).select("ref", "src", "size", F.pmod(
-            F.xxhash64("ref", F.lit(SEED)), F.col("buckets")).alias("bucket"))
+        sources["source"])).select("ref", "key", "src", "size", F.pmod(
+            F.xxhash64("key", F.lit(SEED)), F.col("buckets")).alias("bucket"))
     own = landed(own, "mix-sizes")
     sums = own.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = landed(sums.select("src", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0))
                                 .alias("start")), "mix-starts")
-    within = Window.partitionBy("src", "bucket").orderBy(F.xxhash64("ref", F.lit(SEED + 1)),
-                                                         "ref").rowsBetween(
+    within = Window.partitionBy("src", "bucket").orderBy("key", "ref").rowsBetween(
         Window.unboundedPreceding, -1)
     return own.join(starts, ["src", "bucket"]).select(
         "ref", "src", "size", (F.col("start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
@@ -192,7 +193,7 @@ def _slots(spark, quotas: list[Quota], seed: int) -> DataFrame | None:
 
 def mix_plan(sizes: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int = SEED,
              most: int = MOST):
-    """From landed (ref, source, size): the sources as (src, source,
+    """From landed (ref, key, source, size), key ordering documents: the sources as (src, source,
     source_size, target), and the parts taken as (ref, src, shard, epoch,
     start, n): n words of the document from word ``start`` on."""
     spark = sizes.sparkSession
@@ -238,8 +239,9 @@ def mix_words(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast(
         "string").alias("source"), F.col(text_col).alias("text"))
     sizes = landed(own.mapInArrow(_count_words, "doc_id long, source string, size long").select(
-        F.monotonically_increasing_id().alias("ref"), "doc_id", "source", "size"), "mix-words")
-    sources, parts = mix_plan(sizes.select("ref", "source", "size"), weights, block, seed)
+        F.monotonically_increasing_id().alias("ref"), F.xxhash64("doc_id", "size").alias("key"),
+        "doc_id", "source", "size"), "mix-words")
+    sources, parts = mix_plan(sizes.select("ref", "key", "source", "size"), weights, block, seed)
     taken = parts.groupBy("ref").agg(F.sum("n").alias("taken"))
     return sizes.join(taken, "ref", "left").join(
         sources.withColumnRenamed("source", "source_"),
@@ -255,7 +257,7 @@ def mix_texts(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int
     packed = pack_rows(docs, "mix-texts", text_col)
 
     def count(batches):
-        names = ["ref", "source", "size"]
+        names = ["ref", "key", "source", "size"]
         for batch in batches:
             for i in range(batch.num_rows):
                 rows = unpack(batch.column("rows")[i])
@@ -263,11 +265,13 @@ def mix_texts(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int
                 n = pc.fill_null(pc.count_substring_regex(rows.column(text_col), WORD), 0)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(base + np.arange(rows.num_rows), pa.int64()),
+                     pa.array([xxhash.xxh3_64_intdigest(t or b"") >> 1
+                               for t in text_bytes(rows.column(text_col))], pa.int64()),
                      rows.column(source_col).combine_chunks().cast(pa.string()),
                      n.combine_chunks().cast(pa.int64())], names=names)
 
     sizes = landed(packed.select("chunk", "rows").mapInArrow(
-        count, "ref long, source string, size long"), "mix-words")
+        count, "ref long, key long, source string, size long"), "mix-words")
     _, parts = mix_plan(sizes, weights, block, seed)
     parts = parts.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref", "epoch", "start",
                          "n")

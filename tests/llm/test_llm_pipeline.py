@@ -41,6 +41,24 @@ def test_stages_take_effect(spark):
     assert n <= 1.02 * least + 1
 
 
-def test_run_is_the_stages(spark):
+def test_run_chains_the_stages(spark, monkeypatch):
+    seen = []
+
+    def stage(keep):
+        def run(session, docs, sf_dir):
+            seen.append((docs.count(), sf_dir))
+            return docs.where(keep)
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", stage("doc_id % 2 = 0")),
+                                                    ("b", stage("doc_id % 3 = 0"))])
     rows = corpus_pipeline.run(spark, SF0001).collect()
-    assert rows and {"doc_id", "sequence_id", "offset"} <= set(rows[0].asDict())
+    total = table(spark, SF0001, "documents").count()
+    assert seen == [(total, SF0001), (-(-total // 2), SF0001)]
+    assert rows and all(r.doc_id % 6 == 0 for r in rows)
+
+
+def test_stage_names_and_order():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_classifier", "near_duplicates", "suffix_dedup", "source_mixing",
+        "best_fit_packing"]
