@@ -44,8 +44,21 @@ _CLASSES[128:] = 9
 N_FEATURES = 16
 
 
-def features(texts: list[bytes | None]) -> np.ndarray:
-    """(texts, N_FEATURES) surface statistics."""
+def features(texts: list[bytes | None], group_bytes: int = 1 << 20) -> np.ndarray:
+    """(texts, N_FEATURES) surface statistics, made for groups of texts of
+    about ``group_bytes`` to bound memory."""
+    out, start = [np.zeros((0, N_FEATURES))], 0
+    while start < len(texts):
+        stop, held = start, 0
+        while stop < len(texts) and (stop == start or held < group_bytes):
+            held += len(texts[stop] or b"")
+            stop += 1
+        out.append(_features(texts[start:stop]))
+        start = stop
+    return np.concatenate(out)
+
+
+def _features(texts: list[bytes | None]) -> np.ndarray:
     out = np.zeros((len(texts), N_FEATURES))
     doc, key, words = shingles(texts)
     order = np.lexsort((key, doc))
