@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from cityair.llm.chunks import (REF_BITS, count_keys, key_ranges, look_up, pack_rows, text_bytes,
                                 unpack)
-from cityair.llm.common import discard, landed, mix64, unit
+from cityair.llm.common import discard, landed, mix64, reclaim, unit
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -53,6 +53,34 @@ _U = np.uint64
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _MULT = 0xD6E8FEB86659FD93
+_BYTE_KEYS = mix64(np.arange(1, 257, dtype=np.uint64), 11)
+PIECE = 1 << 20
+
+
+def _words(data: np.ndarray):
+    """Start and fingerprint of every word of a buffer that ends with white
+    space; the buffer is read in pieces of about ``PIECE`` bytes."""
+    size = PIECE * 2 if len(data) > PIECE else len(data)
+    powers, starts, keys, begin = _powers(size), [], [], 0
+    while begin < len(data):
+        end = min(begin + PIECE, len(data))
+        while not _WHITE[data[end - 1]]:  # up to the end of a word
+            more = np.flatnonzero(_WHITE[data[end:end + PIECE]])
+            end = end + int(more[0]) + 1 if len(more) else min(end + PIECE, len(data))
+        piece = data[begin:end]
+        if len(piece) > size:
+            size = len(piece)
+            powers = _powers(size)
+        up, down = powers
+        edge = np.flatnonzero(np.diff(np.r_[True, _WHITE[piece]].astype(np.int8)))
+        start, stop = edge[::2], edge[1::2]
+        prefix = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(_BYTE_KEYS[piece] * up[:len(piece)], out=prefix[1:])
+        keys.append(mix64((prefix[stop] - prefix[start]) * down[start]
+                          + (stop - start).astype(np.uint64), 3))
+        starts.append(start + begin)
+        begin = end
+    return np.concatenate(starts), np.concatenate(keys)
 
 
 def _powers(n: int):
@@ -66,17 +94,10 @@ def shingles(texts: list[bytes | None], size: int = SHINGLE):
     """Shingle fingerprints of many texts: (document index, fingerprint, one
     for each place where a shingle starts), and each text's number of words."""
     joined = b"\n".join(t or b"" for t in texts) + b"\n"
-    data = np.frombuffer(joined, np.uint8)
     lens = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
-    white = _WHITE[data]
-    edge = np.flatnonzero(np.diff(np.r_[True, white].astype(np.int8)))
-    start, end = edge[::2], edge[1::2]
+    start, word = _words(np.frombuffer(joined, np.uint8))
     doc = np.searchsorted(np.cumsum(lens), start, "right")
     words = np.bincount(doc, minlength=len(texts))
-    up, down = _powers(len(data))
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(mix64(data.astype(np.uint64) + _U(1), 11) * up, out=prefix[1:])
-    word = mix64((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64), 3)
     # Five consecutive words of one text; a shorter text has one shingle.
     first = np.r_[0, np.cumsum(words)[:-1]]
     place = np.arange(len(word)) - first[doc]
@@ -299,7 +320,9 @@ def _labels(docs: DataFrame, text: str, similarity: float, bands: int, rows: int
         "label"))
     rest = labels.select(F.col("v").alias("ref"), "label").join(copied.select("ref"), "ref",
                                                                 "left_anti")
-    return packed, landed(alone.unionByName(rest), "neardup-labels"), links
+    labels = landed(alone.unionByName(rest), "neardup-labels")
+    reclaim(docs.sparkSession, rounds=2)
+    return packed, labels
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -308,7 +331,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: doc_id, class_id (the smallest doc_id of its
     class), class_size, keeps (the one row of its class that stays)."""
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    packed, labels, _ = _labels(own, "text", similarity, bands, rows, damping)
+    packed, labels = _labels(own, "text", similarity, bands, rows, damping)
     schema = pa.schema([("ref", pa.int64()), ("doc_id", pa.int64())])
 
     def ids(batches):
@@ -334,7 +357,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def one_of_each(docs: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
                 bands: int = BANDS, rows: int = ROWS, damping: float = DAMPING) -> DataFrame:
     """``docs`` with one row of each class of near duplicates."""
-    packed, labels, _ = _labels(docs, text_col, similarity, bands, rows, damping)
+    packed, labels = _labels(docs, text_col, similarity, bands, rows, damping)
     gone = labels.where("ref <> label").select(
         F.shiftright("ref", REF_BITS).alias("chunk"), "ref")
 
