@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cityair.llm.common import landed, shuffle_partitions
+from cityair.llm.common import landed, reclaim, shuffle_partitions
 
 CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 1 << 14
@@ -134,7 +134,10 @@ def count_keys(chunks: DataFrame, keys_of, columns, ranges: int, name: str) -> D
 
     sent = chunks.select("chunk", *columns).mapInArrow(
         ask, "bucket int, chunk long, keys binary, counts binary")
-    return landed(sent.groupBy("bucket").applyInArrow(answer, ANSWER_DDL), name)
+    out = landed(sent.groupBy("bucket").applyInArrow(answer, ANSWER_DDL), name)
+    del sent  # its shuffle is the largest there is
+    reclaim(chunks.sparkSession, rounds=3)
+    return out
 
 
 def look_up(keys: np.ndarray, answer: pa.Table) -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -19,18 +20,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder, read it back, and let the
-    driver's cleaner drop shuffle files that nothing refers to any more."""
+    """Write ``df`` to the shared checkpoint folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    reclaim(spark)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.landed_at = path
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     return out
 
 
+def reclaim(spark: SparkSession, rounds: int = 1) -> None:
+    """Let the driver's cleaner drop the shuffle files of finished steps (those
+    that nothing refers to any more) before the next step writes its own. What
+    the step before has just released takes a second round."""
+    for i in range(rounds):
+        if i:
+            time.sleep(0.5)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete landed tables that no later step reads."""
     for df in tables:
@@ -65,5 +75,5 @@ def unit(x: np.ndarray, salt: int) -> np.ndarray:
     return ((mix64(x, salt) >> U64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
-__all__ = ["F", "WORD", "U64", "table", "landed", "discard", "shuffle_partitions", "unused",
+__all__ = ["F", "WORD", "U64", "table", "landed", "discard", "reclaim", "shuffle_partitions", "unused",
            "mix64", "unit"]

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from cityair.llm.chunks import count_keys, key_ranges, look_up, pack_rows, text_bytes, unpack
-from cityair.llm.common import discard, landed, mix64
+from cityair.llm.common import discard, landed, mix64, reclaim
 
 WINDOW = 200
 CORE = 64
@@ -267,6 +267,7 @@ def _settle(docs: DataFrame, text: str, emit, ddl: str, window: int, core: int)
                          window)) for i, t in enumerate(texts)]
         return emit(rows, done)
 
+    reclaim(docs.sparkSession, rounds=2)
     lists = sorted_out.unionByName(seen, allowMissingColumns=True)
     return packed.select("chunk", "rows").groupBy("chunk").cogroup(
         lists.groupBy("chunk")).applyInArrow(finish, ddl)
