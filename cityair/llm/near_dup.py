@@ -11,10 +11,11 @@ with plain ``ln(N / df)`` a text copied thousands of times would weigh next
 to nothing against an edit, and its near copies would stop looking alike.
 
 Steps: (1) count df over all documents (keys by range, deduplicated in their
-chunk); (2) sketch each document: improved consistent weighted sampling
-(Ioffe's r, c, beta draws), one draw a shingle, in ``bins`` bins by the
-shingle's hash, empty bins filled from other bins by hashing, so that the
-cost is one draw a shingle, not one a shingle and bin; (3) identical texts
+chunk); (2) sketch each document by consistent weighted sampling, every
+value by draws of its own over all shingles: a weight is cut into layers of
+idf's upper bound, a repeated shingle has a layer for each time, so a value's
+cost is one draw a word and two sketch values are equal with the probability
+of the weighted Jaccard similarity, whatever the weights; (3) identical texts
 become one representative; representatives that share a band of sketch
 values become candidates of the first and the last member of that band's
 bucket in a fixed random order (aggregates, so a bucket that holds a third
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from cityair.llm.chunks import (REF_BITS, count_keys, key_ranges, look_up, pack_rows, text_bytes,
                                 unpack)
-from cityair.llm.common import discard, landed, mix64, reclaim, unit
+from cityair.llm.common import discard, landed, mix64, reclaim
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -54,6 +55,8 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _MULT = 0xD6E8FEB86659FD93
 _BYTE_KEYS = mix64(np.arange(1, 257, dtype=np.uint64), 11)
+_LAST, _LEVEL = ~_U(0), _U((1 << 24) - 1)
+LAYERS = 1 << 17
 PIECE = 1 << 20
 
 
@@ -125,39 +128,82 @@ def _weights(key, tf, answer, n_docs: int, damping: float):
     return tf * (1 + damping * (1 - np.log(df) / math.log(max(2, n_docs))))
 
 
-def sketch(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, bins: int) -> np.ndarray:
-    """Consistent weighted samples, (n, bins); rows of documents without
-    shingles hold zeros."""
-    out = np.zeros((n, bins), np.uint64)
-    if not len(doc):
-        return out
-    r = -np.log(unit(key, 21) * unit(key, 22))
-    c = -np.log(unit(key, 23) * unit(key, 24))
-    beta = unit(key, 25)
-    t = np.floor(np.log(weight) / r + beta)
-    a = np.log(c) - r * (t - beta) - r
-    slot = doc * bins + (mix64(key, 26) % _U(bins)).astype(np.int64)
-    order = np.lexsort((key, a, slot))
-    s = slot[order]
-    best = order[np.r_[True, s[1:] != s[:-1]]]
-    value = mix64(key[best] ^ mix64(t[best].astype(np.int64).view(np.uint64), 27), 28) | _U(1)
-    out.ravel()[slot[best]] = value
-    # Empty bins borrow from a hashed bin that is not empty.
-    filled = out != 0
-    some = filled.any(axis=1)
-    rows, cols = np.nonzero(~filled & some[:, None])
-    for attempt in range(1, 4 * bins):
-        if not len(rows):
-            break
-        donor = (mix64(cols.astype(np.uint64) + _U(attempt << 20), 29) % _U(bins)).astype(np.int64)
-        hit = filled[rows, donor]
-        out[rows[hit], cols[hit]] = out[rows[hit], donor[hit]]
-        rows, cols = rows[~hit], cols[~hit]
-    if len(rows):  # so few bins are filled that hashing missed them: the next filled one
-        for i, j in zip(rows.tolist(), cols.tolist()):
-            own = np.flatnonzero(filled[i])
-            out[i, j] = out[i, own[np.searchsorted(own, j) % len(own)]]
-    return out
+def sketch(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, bins: int,
+           height: float = 1.0) -> np.ndarray:
+    """Consistent weighted samples, (n, bins), each bin by draws of its own
+    over all shingles (which come document by document); rows of documents
+    without shingles hold zeros.
+
+    A weight is cut into layers of ``height``, the last one filled in part.
+    In every layer points arrive in time, at random levels, the same ones in
+    all documents; a document's sample is the first point within the filled
+    part of its layers. Two samples are then equal with the probability
+    (sum of lesser weights) / (sum of greater weights)."""
+    out = np.full((bins, n), _LAST)
+    bin_keys = mix64(np.arange(bins, dtype=np.uint64), 24)
+    layers = np.maximum(1, np.ceil(weight / height)).astype(np.int64)
+    ends = np.cumsum(layers)
+    cuts = np.unique(np.r_[0, np.searchsorted(ends, np.arange(
+        LAYERS, ends[-1], LAYERS), "right"), len(key)]) if len(key) else []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        at = np.repeat(np.arange(a, b), layers[a:b])
+        layer = np.arange(len(at)) - (ends[at] - layers[at] - (ends[a] - layers[a]))
+        seed = mix64(key[at] ^ mix64(layer.astype(np.uint64), 21), 22)
+        filled = np.minimum(weight[at] / height - layer, 1.0)
+        level = np.maximum(1, np.ceil(filled * (1 << 24))).astype(np.uint64)
+        top = level.astype(np.int64) - 1
+        first = np.flatnonzero(np.r_[True, doc[at[1:]] != doc[at[:-1]]])
+        own, run = doc[at[first]], np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(at)]))
+        size = np.diff(np.r_[first, len(at)])
+        x, spare = np.empty_like(seed), np.empty_like(seed)
+        for j in range(bins):
+            # High bits are the time of a layer's first point, low bits its level.
+            np.bitwise_xor(seed, bin_keys[j], out=x)
+            _scramble(x, spare)
+            soonest = np.minimum.reduceat(x, first)
+            # Points over the filled part: all bits set.
+            np.bitwise_and(x, _LEVEL, out=spare)
+            signed = spare.view(np.int64)
+            np.right_shift(np.subtract(top, signed, out=signed), 63, out=signed)
+            np.bitwise_or(spare, x, out=spare)
+            least = np.minimum.reduceat(spare, first)
+            late = np.flatnonzero(soonest < least)
+            if len(late):
+                skip = np.repeat(first[late] - np.r_[0, np.cumsum(size[late])[:-1]], size[late])
+                over = np.arange(len(skip)) + skip
+                over = over[x[over] < least[run[over]]]
+                _later_points(over, x[over], level, run, least)
+            out[j, own] = np.minimum(out[j, own], least)
+    out[out == _LAST] = 0
+    return out.T
+
+
+def _scramble(x: np.ndarray, spare: np.ndarray) -> None:
+    """Mix evenly spread 64-bit numbers anew, in place."""
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
+        np.multiply(x, _U(factor), out=x)
+        np.right_shift(x, _U(shift), out=spare)
+        np.bitwise_xor(x, spare, out=x)
+
+
+def _later_points(over, point, level, run, least) -> None:
+    """Layers whose points so far lie over their filled part: their next points,
+    as long as these come before the document's sample, which they replace."""
+    state, time = point, None
+    while True:
+        open_ = point < least[run[over]]
+        if not open_.any():
+            return
+        over, state, point = over[open_], state[open_], point[open_]
+        spent = -np.log1p(-(state >> _U(24)).astype(np.float64) * 2.0 ** -40)
+        time = spent if time is None else time[open_] + spent
+        state = mix64(state, 23)
+        gap = -np.log1p(-(state >> _U(24)).astype(np.float64) * 2.0 ** -40)
+        ticks = np.minimum(-np.expm1(-(time + gap)) * 2.0 ** 40, 2.0 ** 40 - 1).astype(np.uint64)
+        point = (ticks << _U(24)) | (state & _LEVEL)
+        inside = (state & _LEVEL) < level[over]
+        np.minimum.at(least, run[over[inside]], point[inside])
+        over, state, point, time = (v[~inside] for v in (over, state, point, time))
 
 
 def bands_of(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -189,7 +235,8 @@ def _sketches(packed, df_answers, text, n_docs, damping, bands, rows):
         doc, key, words = shingles(texts)
         d, k, tf = _distinct(doc, key)
         w = _weights(k, tf, answer, n_docs, damping)
-        sig = bands_of(sketch(d, k, w, len(texts), bands * rows), bands, rows).view(np.int64)
+        sig = bands_of(sketch(d, k, w, len(texts), bands * rows, max(1.0, 1 + damping)),
+                       bands, rows).view(np.int64)
         has = np.flatnonzero(words)
         same = [xxhash.xxh3_128_digest(texts[i]) for i in has]
         same = np.frombuffer(b"".join(same), np.int64).reshape(-1, 2)

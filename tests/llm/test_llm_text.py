@@ -195,6 +195,56 @@ def test_sketch_collisions_follow_weighted_jaccard():
     assert abs((one == two).mean() - true) < 0.06
 
 
+def repeated_phrases():
+    """Pairs of texts that share a phrase many times and little else: weighted
+    Jaccard similarity about 0.83, a twentieth of the distinct shingles."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    rows = []
+    for g in range(12):
+        cycle = [word() for _ in range(5)] * 200
+        for k in range(2):
+            rows.append((g * 10 + k, " ".join(cycle + [word() for _ in range(96)]), "en", "s"))
+    return rows
+
+
+def test_near_duplicates_with_heavy_shingles_match_brute_force(spark):
+    rows = repeated_phrases()
+    got = near_dup.classes(docs_of(spark, rows)).collect()
+    assert partition([r.doc_id for r in got], [r.class_id for r in got]) == partition(
+        [r[0] for r in rows], brute_classes(rows))
+    assert {r.class_size for r in got} == {2}
+
+
+@pytest.mark.parametrize("height", [0.4, 1.0, 1.1, 6.0])
+def test_sketch_collisions_with_uneven_weights(height):
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    heavy = np.r_[[200.0] * 5, [1.0] * 100]
+    idf, tf = rng.uniform(1, 1.1, 400), rng.integers(1, 40, (2, 400))
+    cases = [
+        (keys[:105], heavy, np.r_[keys[:5], keys[200:300]], heavy),
+        (keys[:2], np.array([1.05, 0.3]), keys[:2], np.array([0.4, 1.02])),
+        (keys[:90], (tf[0] * idf)[:90], keys[30:120], (tf[1] * idf)[30:120])]
+    for ka, wa, kb, wb in cases:
+        a, b = dict(zip(ka.tolist(), wa)), dict(zip(kb.tolist(), wb))
+        true = sum(min(a.get(k, 0), b.get(k, 0)) for k in {*a, *b}) / sum(
+            max(a.get(k, 0), b.get(k, 0)) for k in {*a, *b})
+        one, two = (near_dup.sketch(np.zeros(len(k), int), k, w, 1, 6000, height)
+                    for k, w in ((ka, wa), (kb, wb)))
+        assert abs((one == two).mean() - true) < 0.03
+
+
+def test_sketch_does_not_depend_on_pieces(monkeypatch):
+    rng = np.random.default_rng(6)
+    doc = np.sort(rng.integers(0, 20, 600))
+    keys, weight = rng.integers(0, 1 << 62, 600).astype(np.uint64), rng.uniform(0.2, 9, 600)
+    whole = near_dup.sketch(doc, keys, weight, 21, 50, 1.1)
+    monkeypatch.setattr(near_dup, "LAYERS", 7)
+    assert (near_dup.sketch(doc, keys, weight, 21, 50, 1.1) == whole).all()
+    assert not whole[20].any() and whole[:20].all()
+
+
 # ---- op1 ---------------------------------------------------------------------
 def test_language_query_held_out_accuracy(spark):
     truth = {r.doc_id: r for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
