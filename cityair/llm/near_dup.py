@@ -21,8 +21,11 @@ values become candidates of the first and the last member of that band's
 bucket in a fixed random order (aggregates, so a bucket that holds a third
 of all rows is combined map-side; no pairs within a bucket); (4) every
 candidate pair is verified by exact weighted Jaccard similarity, a leader's
-members being dealt to groups of bounded size; (5) connected components of
-verified pairs by minimum labels.
+members being dealt to groups of bounded size; (5) members of a bucket whom
+its leaders leave in different classes are compared with each other, all of
+them, in pairs of blocks (a bucket's most frequent class only with the other
+members), so every pair that shares a band is verified or already in one
+class; (6) connected components of verified pairs by minimum labels.
 
 Defined results: texts without a word (null, empty, white space) are never
 duplicates; fewer than five words make one shingle of all words; repeated
@@ -50,6 +53,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 DAMPING = 0.1
 GROUP = 64
+BLOCK = 64
 _U = np.uint64
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -339,6 +343,126 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return labels
 
 
+def _sets(packed, df_answers, refs, text, n_docs, damping) -> DataFrame:
+    """(ref, keys, weights): the weighted shingles of the rows ``refs``."""
+    asks = refs.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref")
+    chunks = landed(asks.select("chunk").distinct(), "neardup-left-chunks")
+    packed, df_answers = (x.join(chunks, "chunk", "left_semi") for x in (packed, df_answers))
+    more = df_answers.unionByName(asks, allowMissingColumns=True)
+    blob = pa.schema([("ref", pa.int64()), ("keys", pa.binary()), ("weights", pa.binary())])
+
+    def send(own: pa.Table, asked: pa.Table) -> pa.Table:
+        wanted = asked.filter(pa.compute.is_valid(asked["ref"]))
+        if own.num_rows == 0 or wanted.num_rows == 0:
+            return blob.empty_table()
+        index = wanted["ref"].to_numpy() & ((1 << REF_BITS) - 1)
+        texts = text_bytes(unpack(own.column("rows")[0]).column(text))
+        d, k, tf = _distinct(*shingles(texts)[:2])
+        w = _weights(k, tf, asked.filter(pa.compute.is_valid(asked["totals"])), n_docs, damping)
+        cut = np.searchsorted(d, np.arange(len(texts) + 1))
+        return pa.table([wanted["ref"],
+                         pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary()),
+                         pa.array([w[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary())],
+                        schema=blob)
+
+    return landed(packed.groupBy("chunk").cogroup(more.groupBy("chunk")).applyInArrow(
+        send, "ref long, keys binary, weights binary"), "neardup-sets")
+
+
+def _left_over(reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every bucket's members other than its leaders, where they are not all
+    in one class by ``labels`` yet: a member's class so far (label), whether it
+    is the bucket's most frequent one, and how many blocks that class and the
+    other members make."""
+    order = F.struct(F.xxhash64("ref"), F.col("ref"))
+    placed = reps.select("ref", F.posexplode("bands").alias("band", "key"))
+    buckets = placed.groupBy("band", "key").agg(
+        F.count("*").alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi")).where("n > 3")
+    buckets = landed(buckets.select("band", "key", F.col("lo.ref").alias("lo"),
+                                    F.col("hi.ref").alias("hi")), "neardup-wide")
+    rest = placed.join(buckets, ["band", "key"]).where("ref <> lo and ref <> hi").select(
+        "band", "key", "ref")
+    label_of = labels.select(F.col("v").alias("ref"), "label")
+    rest = landed(rest.join(label_of, "ref", "left").select(
+        "band", "key", "ref", F.coalesce("label", "ref").alias("label")), "neardup-rest")
+    sizes = rest.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
+    mixed = landed(sizes.groupBy("band", "key").agg(
+        F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top"),
+        (F.sum("n") - F.max("n")).alias("minor")).where("labels > 1").select(
+        "band", "key", F.col("top.label").alias("top"), F.col("top.n").alias("major"), "minor"),
+        "neardup-mixed")
+    return rest.join(mixed, ["band", "key"]).select(
+        "band", "key", "ref", "label", (F.col("label") == F.col("top")).alias("is_major"),
+        F.ceil(F.col("major") / BLOCK).cast("int").alias("major_blocks"),
+        F.ceil(F.col("minor") / BLOCK).cast("int").alias("minor_blocks"))
+
+
+def _verify_left_over(packed, df_answers, reps, labels, text, n_docs, damping, similarity):
+    """Verified pairs of the members that their buckets' leaders leave in
+    different classes: all of them, block of members by block of members.
+
+    A bucket's most frequent class needs no pairs of its own; its members meet
+    the other members only. A pair is compared in the first band it shares."""
+    rest = landed(_left_over(reps, labels), "neardup-left-over")
+    if rest.limit(1).count() == 0:
+        return None
+    refs = landed(rest.select("ref").distinct(), "neardup-left-refs")
+    sets = _sets(packed, df_answers, refs, text, n_docs, damping).join(
+        reps.select("ref", "bands"), "ref")
+    # Blocks: minor ones are numbered from 0, the most frequent class's follow.
+    place = F.xxhash64("ref", F.lit(9))
+    first = F.when(F.col("is_major"), F.col("minor_blocks") + F.pmod(place, "major_blocks"))
+    rest = rest.withColumn("block", first.otherwise(F.pmod(place, "minor_blocks")).cast("int"))
+    others = F.when(F.col("is_major"), F.sequence(F.lit(0), F.col("minor_blocks") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("minor_blocks") + F.col("major_blocks") - 1))
+    dealt = rest.select("band", "key", "ref", "label", "block", F.explode(others).alias("other"))
+    dealt = dealt.select("band", "key", "ref", "label", "block", F.least("block", "other").alias(
+        "one"), F.greatest("block", "other").alias("two"))
+    link = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+
+    def compare(group: pa.Table) -> pa.Table:
+        one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
+        found = list(similar_pairs(
+            group.column("ref").to_numpy(), group.column("label").to_numpy(),
+            np.array(group.column("bands").to_pylist(), np.int64),
+            group.column("band")[0].as_py(), group.column("block").to_numpy() == one, one == two,
+            [np.frombuffer(x, np.uint64) for x in group.column("keys").to_pylist()],
+            [np.frombuffer(x, np.float64) for x in group.column("weights").to_pylist()],
+            similarity))
+        return pa.table([list(c) for c in zip(*found)], schema=link) if found else (
+            link.empty_table())
+
+    return landed(dealt.join(sets, "ref").groupBy("band", "key", "one", "two").applyInArrow(
+        compare, "a long, b long, similarity double"), "neardup-left-links")
+
+
+def similar_pairs(refs, labels, bands, band, left, within, keys, weights, similarity):
+    """(a, b, similarity) of the pairs of a left and another member (or of two
+    left ones, ``within`` a block) with different labels that share no band
+    before ``band`` and reach ``similarity``."""
+    right = np.flatnonzero(left if within else ~left)
+    if not len(right):
+        return
+    vocabulary, at = np.unique(np.concatenate([keys[j] for j in right]), return_inverse=True)
+    own = np.repeat(np.arange(len(right)), [len(keys[j]) for j in right])
+    weight = np.concatenate([weights[j] for j in right])
+    totals = np.array([weights[j].sum() for j in right])
+    for i in np.flatnonzero(left):
+        asked = labels[right] != labels[i]
+        asked &= ~(bands[right, :band] == bands[i, :band]).any(axis=1)
+        if within:
+            asked &= right > i
+        if not asked.any():
+            continue
+        mine = np.zeros(len(vocabulary))
+        _, a, b = np.intersect1d(vocabulary, keys[i], assume_unique=True, return_indices=True)
+        mine[a] = weights[i][b]
+        both = np.bincount(own, np.minimum(weight, mine[at]), len(right))
+        alike = both / (totals + weights[i].sum() - both)
+        for j in np.flatnonzero(asked & (alike >= similarity - 1e-12)):
+            yield int(refs[right[j]]), int(refs[i]), float(alike[j])
+
+
 def _labels(docs: DataFrame, text: str, similarity: float, bands: int, rows: int, damping: float):
     """Landed chunks, and (ref, label) of every row in a class of two or more."""
     packed = pack_rows(docs, "neardup-texts", text)
@@ -359,8 +483,11 @@ def _labels(docs: DataFrame, text: str, similarity: float, bands: int, rows: int
                                                 "left_anti")
     pairs = _candidates(reps)
     links = _verify(packed, counted, pairs, text, n_docs, damping, similarity)
+    labels = components(links, "neardup-led")
+    more = _verify_left_over(packed, counted, reps, labels, text, n_docs, damping, similarity)
     discard(counted, pairs)
-    labels = components(links, "neardup-components")
+    if more is not None:
+        labels = components(links.unionByName(more), "neardup-components")
     # A class of near copies takes its members' exact copies along.
     label_of = labels.select(F.col("v").alias("rep"), "label")
     alone = copied.join(label_of, "rep", "left").select("ref", F.coalesce("label", "rep").alias(

@@ -216,6 +216,47 @@ def test_near_duplicates_with_heavy_shingles_match_brute_force(spark):
     assert {r.class_size for r in got} == {2}
 
 
+def template_family(pairs=60):
+    """Pages with much boilerplate, under 0.8 with each other, which hold
+    pairs of pages over 0.8."""
+    rng = random.Random(23)
+    words = lambda n: ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(n)]
+    base, rows = words(356), []
+    for g in range(pairs):
+        shared = words(13)
+        rows += [(g * 10 + k, " ".join(base + shared + words(35)), "en", "s") for k in range(2)]
+    return rows
+
+
+def test_near_duplicates_in_a_template_family_match_brute_force(spark):
+    rows = template_family()
+    got = near_dup.classes(docs_of(spark, rows)).collect()
+    want = brute_classes(rows)
+    assert set(collections.Counter(want).values()) == {2}
+    assert partition([r.doc_id for r in got], [r.class_id for r in got]) == partition(
+        [r[0] for r in rows], want)
+
+
+def test_similar_pairs_are_the_pairs_of_brute_force():
+    rng = np.random.default_rng(9)
+    n = 40
+    keys = [np.unique(rng.integers(0, 30, rng.integers(1, 40)).astype(np.uint64)) for _ in range(n)]
+    weights = [rng.uniform(0.5, 2, len(k)) for k in keys]
+    refs, labels = np.arange(n) + 100, rng.integers(0, 12, n)
+    bands = rng.integers(0, 4, (n, 3))
+    left = np.arange(n) < 25
+    for within in (False, True):
+        want = set()
+        for i in range(n):
+            for j in range(n):
+                if (left[i] and (j > i and left[j] if within else not left[j])
+                        and labels[i] != labels[j] and not (bands[i, :2] == bands[j, :2]).any()
+                        and near_dup.jaccard((keys[i], weights[i]), (keys[j], weights[j])) >= 0.4):
+                    want.add((100 + j, 100 + i))
+        got = list(near_dup.similar_pairs(refs, labels, bands, 2, left, within, keys, weights, 0.4))
+        assert {g[:2] for g in got} == want and len(got) == len(want) > 0
+
+
 @pytest.mark.parametrize("height", [0.4, 1.0, 1.1, 6.0])
 def test_sketch_collisions_with_uneven_weights(height):
     rng = np.random.default_rng(4)
