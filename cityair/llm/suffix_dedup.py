@@ -44,10 +44,9 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 
 
-def _tables():
+def _tables(size: int):
     rng = np.random.default_rng(20240607)
     byte = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-    size = SEGMENT + WINDOW + 1
     up, down = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
     return byte, np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
@@ -58,8 +57,8 @@ _TABLES = []
 
 def _prefix(data: np.ndarray) -> np.ndarray:
     """Prefix sums of the rolling hash (modulo 2^64)."""
-    if not _TABLES:
-        _TABLES.extend(_tables())
+    if not _TABLES or len(data) >= len(_TABLES[1]):  # windows beyond the usual need more
+        _TABLES[:] = _tables(max(SEGMENT + WINDOW, len(data)) + 1)
     byte, up, _ = _TABLES
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(byte[data] * up[:len(data)], out=out[1:])
@@ -85,7 +84,7 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 def pieces_of(text: bytes, window: int = WINDOW, core: int = CORE):
     """Runs of window starts with one anchor: (start, windows, anchor's
     fingerprint, fingerprint of the run's bytes)."""
-    low = _U((1 << 18) * 2 - 1)
+    low = _U((1 << (SEGMENT + window - core).bit_length()) - 1)
     out = []
     for base in range(0, max(0, len(text) - window + 1), SEGMENT):
         view = memoryview(text)[base:base + SEGMENT + window - 1]
@@ -136,8 +135,12 @@ def _runs(flags: np.ndarray):
 
 # A chunk's pieces: how many each document has, and for each piece its windows
 # and fingerprints (a document's pieces follow each other without a gap).
-_FOUND = ("docs", np.uint32), ("num", np.uint8), ("anchor", np.uint64), ("whole", np.uint64)
-_PLACE = ("doc", np.uint32), ("pos", np.uint32), ("num", np.uint8)
+def _kinds(window: int, core: int):
+    """Columns of found and of placed pieces; a piece has window - core + 1
+    windows at most."""
+    num = ("num", np.min_scalar_type(window - core + 1))
+    return ((("docs", np.uint32), num, ("anchor", np.uint64), ("whole", np.uint64)),
+            (("doc", np.uint32), ("pos", np.uint32), num))
 
 
 def _places(docs: np.ndarray, num: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +152,7 @@ def _places(docs: np.ndarray, num: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return doc, before - base[doc]
 
 
-def _find_pieces(packed: DataFrame, text: str, window: int, core: int) -> DataFrame:
+def _find_pieces(packed: DataFrame, text: str, window: int, core: int, kinds) -> DataFrame:
     def find(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -162,7 +165,7 @@ def _find_pieces(packed: DataFrame, text: str, window: int, core: int) -> DataFr
                 yield pa.RecordBatch.from_pydict(
                     {"chunk": pa.array([batch.column("chunk")[i].as_py()], pa.int64())}
                     | {k: pa.array([c.astype(t).tobytes()], pa.binary())
-                       for (k, t), c in zip(_FOUND, cols)})
+                       for (k, t), c in zip(kinds, cols)})
 
     return landed(packed.select("chunk", "rows").mapInArrow(
         find, "chunk long, docs binary, num binary, anchor binary, whole binary"),
@@ -173,7 +176,7 @@ def _array(value, kind):
     return np.frombuffer(value.as_py() if hasattr(value, "as_py") else value, kind)
 
 
-def _pick_repeated(pieces: DataFrame, anchors: DataFrame) -> DataFrame:
+def _pick_repeated(pieces: DataFrame, anchors: DataFrame, found, place) -> DataFrame:
     """The pieces whose anchor repeats, with the key of the whole piece."""
     schema = pa.schema([("chunk", pa.int64()), ("doc", pa.binary()), ("pos", pa.binary()),
                         ("num", pa.binary()), ("key", pa.binary()), ("seen", pa.binary())])
@@ -182,13 +185,13 @@ def _pick_repeated(pieces: DataFrame, anchors: DataFrame) -> DataFrame:
         if own.num_rows == 0 or answer.num_rows == 0:
             return schema.empty_table()
         row = {c: own.column(c)[0] for c in own.column_names}
-        arrays = {k: _array(row[k], t) for k, t in _FOUND}
+        arrays = {k: _array(row[k], t) for k, t in found}
         arrays["doc"], arrays["pos"] = _places(arrays["docs"], arrays["num"])
         total, _ = look_up(arrays["anchor"], answer)
         at = np.flatnonzero(total >= 2)
         key = mix64(arrays["anchor"][at], 2) ^ arrays["whole"][at]
         return pa.table([[row["chunk"].as_py()], *([arrays[k][at].astype(t).tobytes()]
-                                                   for k, t in _PLACE),
+                                                   for k, t in place),
                          [key.tobytes()], [total[at].tobytes()]], schema=schema)
 
     return landed(pieces.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(
@@ -196,7 +199,7 @@ def _pick_repeated(pieces: DataFrame, anchors: DataFrame) -> DataFrame:
         "suffix-repeated")
 
 
-def _sort_out(repeated: DataFrame, wholes: DataFrame) -> DataFrame:
+def _sort_out(repeated: DataFrame, wholes: DataFrame, place) -> DataFrame:
     """Pieces that go whole; pieces whose windows are asked for (they occur
     once, their anchor oftener); pieces that only lend their windows."""
     schema = pa.schema([("chunk", pa.int64())] + [(f"{k}_{c}", pa.binary()) for k in
@@ -206,7 +209,7 @@ def _sort_out(repeated: DataFrame, wholes: DataFrame) -> DataFrame:
         if own.num_rows == 0:
             return schema.empty_table()
         row = {c: own.column(c)[0] for c in own.column_names}
-        arrays = {k: _array(row[k], t) for k, t in _PLACE}
+        arrays = {k: _array(row[k], t) for k, t in place}
         key, seen = _array(row["key"], np.uint64), _array(row["seen"], np.uint32)
         total, first = look_up(key, answer)
         lend = (total >= 2) & (seen > total) & (first == 1)
@@ -223,21 +226,22 @@ def _sort_out(repeated: DataFrame, wholes: DataFrame) -> DataFrame:
 
 def _settle(docs: DataFrame, text: str, emit, ddl: str, window: int, core: int) -> DataFrame:
     packed = pack_rows(docs, "suffix-texts", text)
-    pieces = _find_pieces(packed, text, window, core)
+    found, place = _kinds(window, core)
+    pieces = _find_pieces(packed, text, window, core, found)
     ranges = key_ranges(packed, 50)
     anchors = count_keys(pieces, lambda r: _array(r["anchor"], np.uint64), ["anchor"], ranges,
                          "suffix-anchors")
-    repeated = _pick_repeated(pieces, anchors)
+    repeated = _pick_repeated(pieces, anchors, found, place)
     discard(pieces, anchors)
     wholes = count_keys(repeated, lambda r: _array(r["key"], np.uint64), ["key"], ranges,
                         "suffix-wholes")
-    sorted_out = _sort_out(repeated, wholes)
+    sorted_out = _sort_out(repeated, wholes, place)
     discard(repeated, wholes)
 
     def open_windows(row, texts=None):
         texts = texts or text_bytes(unpack(row["rows"]).column(text))
         return np.concatenate([
-            _piece_windows(texts, *(_array(row[f"{k}_{c}"], t) for c, t in _PLACE), window)
+            _piece_windows(texts, *(_array(row[f"{k}_{c}"], t) for c, t in place), window)
             for k in ("open", "lend")])
 
     with_text = packed.join(sorted_out, "chunk")
@@ -252,10 +256,10 @@ def _settle(docs: DataFrame, text: str, emit, ddl: str, window: int, core: int)
             if more.column("totals")[i].is_valid:
                 continue
             row = {c: more.column(c)[i] for c in more.column_names if "_" in c}
-            doc, pos, num = (_array(row[f"full_{c}"], t) for c, t in _PLACE)
+            doc, pos, num = (_array(row[f"full_{c}"], t) for c, t in place)
             for d, p, n in zip(doc.tolist(), pos.tolist(), num.tolist()):
                 runs.setdefault(d, []).append((p, n))
-            doc, pos, num = (_array(row[f"open_{c}"], t) for c, t in _PLACE)
+            doc, pos, num = (_array(row[f"open_{c}"], t) for c, t in place)
             total, _ = look_up(open_windows(row, texts), more.filter(
                 pa.compute.is_valid(more["totals"])))
             at = 0

@@ -79,6 +79,17 @@ def test_suffix_dedup_small_window_and_periodic_texts(spark):
     assert sorted(map(tuple, got)) == sorted((r[0], *w) for r, w in zip(rows, want))
 
 
+def test_suffix_dedup_with_more_than_255_windows_a_piece(spark):
+    rng = random.Random(8)
+    chars = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    same = chars(3000)
+    rows = [(i, chars(900 * i) + same + chars(500), "en", "s") for i in range(3)]
+    rows += [(3, chars(1 << 18) + same[:1500], "en", "s"), (4, "a" * 2000, "en", "s")]
+    got = suffix_dedup.removed_bytes(docs_of(spark, rows), window=700, core=64).collect()
+    want = removed([r[1].encode() for r in rows], 700)
+    assert sorted(map(tuple, got)) == sorted((r[0], *w) for r, w in zip(rows, want))
+
+
 def test_suffix_query_on_the_table(spark):
     rows = spark.read.parquet(f"{SF0001}/documents.parquet").collect()
     got = QUERIES["op2_suffix_dedup"](spark, SF0001).collect()
