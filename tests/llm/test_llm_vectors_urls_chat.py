@@ -66,6 +66,22 @@ def test_exact_top_k_over_many_blocks(spark):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_large_weights_score_exactly():
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(90, 6)) * 10.0 ** rng.integers(-3, 8, (90, 1))
+    rows[:8] = [2.0 ** 40] + [0.0] * 5
+    queries = np.r_[rows[:70], [[1e15] + [0.0] * 5, [1.0] * 6, [0.0] * 5 + [-2.0 ** 18 - 1]]]
+    whole = lambda m: [[int(np.floor(256 * x)) for x in v] for v in m]
+    beyond = 0
+    for start, scores in topk._scores(rows, queries):
+        for q, line in zip(whole(queries[start:]), scores.tolist()):
+            want = [sum(a * b for a, b in zip(q, r)) for r in whole(rows)]
+            fits = [abs(w) < 1 << 63 for w in want]
+            assert [x for x, f in zip(line, fits) if f] == [w for w, f in zip(want, fits) if f]
+            beyond += sum(abs(w) > 2 ** 52 for w in want)
+    assert beyond
+
+
 def test_exact_top_k_matches_sql(spark, duck_at):
     got = QUERIES["op10_exact_top_k"](spark, SF0001)
     want = duck_at(SF0001).sql(ORACLE["op10_exact_top_k"])
