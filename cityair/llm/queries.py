@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cityair.llm import (ann, chat, lang_id, mixing, near_dup, packing, quality, suffix_dedup,
-                         topk, url_filter)
+from cityair.llm import (align, ann, centroids, chat, lang_id, lattice, mixing, near_dup, packing,
+                         quality, suffix_dedup, topk, url_filter)
 from cityair.llm.common import table
 
 
@@ -58,10 +58,23 @@ def op10_exact_top_k(spark, sf_dir):
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op11_centroid_clustering(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lattice_scores(spark, sf_dir):
+    return lattice.score(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    return align.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_suffix_dedup, op3_source_mixing, op4_best_fit_packing,
     op5_quality_classifier, op6_preference_pairs, op7_near_duplicates, op8_url_filter,
-    op9_nearest_neighbours, op10_exact_top_k)}
+    op9_nearest_neighbours, op10_exact_top_k, op11_centroid_clustering, op12_lattice_scores,
+    op13_tokenizer_alignment)}
 
 TOP_K_ORACLE = """
 WITH parts AS (
@@ -83,4 +96,5 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 ORACLE: dict[str, str] = {
     "op6_preference_pairs": chat.ORACLE,
     "op10_exact_top_k": TOP_K_ORACLE,
+    "op11_centroid_clustering": centroids.oracle(),
 }
