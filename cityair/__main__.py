@@ -45,7 +45,10 @@ def main(argv=None) -> int:
         p.add_argument("--table", default=None, help="city-day table path")
     sv = sub.add_parser("survey", help="per-capital coverage report (CSV) and summary")
     sv.add_argument("--countries", required=True)
-    sv.add_argument("--locations", required=True)
+    src = sv.add_mutually_exclusive_group(required=True)
+    src.add_argument("--locations", help="landed station objects, matched to capitals by box")
+    src.add_argument("--pages", help="station searches landed a capital (capital_cca2=XX/); "
+                                     "failed and malformed ones are reported")
     sv.add_argument("--as-of", required=True)
     sv.add_argument("--report", required=True)
     a = ap.parse_args(argv)
@@ -74,9 +77,13 @@ def main(argv=None) -> int:
     from cityair.plans import survey
     from cityair.sources import payloads
     caps = geo.capitals_dim(payloads.read_countries(spark, a.countries), strict=True)
-    stations = payloads.flatten_locations(
-        payloads.read_json(spark, a.locations, schemas.LOCATION_PAYLOAD), with_sensor_count=True)
-    summary, top = survey.run_survey(caps, stations, a.as_of, a.report)
+    if a.pages:
+        summary, top = survey.run_survey(caps, None, a.as_of, a.report,
+                                         pages=payloads.read_station_pages(spark, a.pages))
+    else:
+        stations = payloads.flatten_locations(payloads.read_json(
+            spark, a.locations, schemas.LOCATION_PAYLOAD), with_sensor_count=True)
+        summary, top = survey.run_survey(caps, stations, a.as_of, a.report)
     summary.show(truncate=False)
     top.show(truncate=False)
     return 0

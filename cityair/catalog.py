@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
 from cityair.functions.expressions import surrogate_key, passes_unit_caps
-from cityair.operators import geo, merge, quality
+from cityair.operators import geo, ledger, merge, quality
 from cityair.plans import extras, marts, serving, staging, survey
 from cityair.sources import payloads, seeds, standins as S
 from cityair.sources.sinks import materialize, scratch_path, write_report_csv
@@ -32,6 +32,7 @@ ALERT_COUNTRIES = ("ASIA", "EUROPE")
 ALERT_START, ALERT_END = "2024-01-05", "2024-01-20"
 CAPITALS_FILTER_TEXT, CAPITALS_LIMIT = " n1, N3,,n7 ,N12, n20 ", 3
 WINDOW_DAYS = 7
+PAGE_CAP = 5  # stations a page of the station search
 # User input for the WHO flags run: the pipeline fixes only the 24-hour
 # PM2.5 figure, so the annual limit here is a parameter of the registered run.
 WHO_LIMITS = {"pm25": (25.0, 15.0)}
@@ -261,6 +262,24 @@ def _merge_two_increments(w: World) -> DataFrame:
     return merge.merge_upsert(v1, second, ["sensor_id", "date_utc"])
 
 
+def _survey_errors(w: World) -> DataFrame:
+    """The survey over station searches landed a capital, some of them cut off
+    or failed."""
+    path = scratch_path(w.spark, "station_pages")
+    S.land_station_pages(w.spark, w.sf_dir, w.pairs, path)
+    return survey.survey_pages(w.capitals, *payloads.read_station_pages(w.spark, path), S.AS_OF)
+
+
+def _pending_by_ledger(w: World) -> DataFrame:
+    """Two loads of landed pages; what is pending then follows from the ledger."""
+    fact, log = (scratch_path(w.spark, n) for n in ("paged_measurements", "page_ledger"))
+    pages = materialize(S.day_pages(w.spark, w.sf_dir), "day_pages")
+    for i in (0, 1):
+        ledger.load_pages(pages.where(F.col("page") % 2 == 1 - i), fact, log, f"run-{i}",
+                          S.PAGE_ROWS, S.RUN_TS)
+    return ledger.pending(S.explode_candidates(w.spark, w.sf_dir), ledger.read(w.spark, log))
+
+
 def _suite(w: World) -> DataFrame:
     """The seventeen checks after the model build: staging and the city-day
     table as landed by the build, the view marts as plans over the table."""
@@ -307,6 +326,7 @@ BUILDERS = {
         payloads.explode_sensors(S.location_payloads(w.spark, w.sf_dir, False), S.RUN_TS)
         .select("sensor_id", "location_id"),
         w.measurements.select("sensor_id")),
+    "pending_by_ledger": _pending_by_ledger,
     # ---- geography ----
     "capitals_dim": lambda w: w.capitals,
     "capitals_csv": _capitals_csv,
@@ -321,6 +341,9 @@ BUILDERS = {
     "active_per_capital": lambda w: survey.active_per_capital(w.pairs, S.AS_OF),
     "capital_survey": lambda w: w.survey,
     "capital_survey_covered": lambda w: survey.covered_capitals(w.survey),
+    "survey_errors": _survey_errors,
+    "stations_per_page": lambda w: geo.bbox_match(
+        w.capitals, w.stations, max_per_capital=PAGE_CAP).select(*PAIR_COLS),
     "survey_summary": lambda w: survey.survey_summary(w.survey),
     "rows_per_sensor": lambda w: survey.rows_per_sensor(w.measurements),
     # ---- serving ----

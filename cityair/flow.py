@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType
 
 from cityair import schemas
-from cityair.operators import geo, merge
+from cityair.operators import geo, ledger, merge
 from cityair.plans.models import Models, build_models
 from cityair.sources import payloads, seeds, sinks
 
@@ -108,3 +108,20 @@ def stream_days(spark: SparkSession, days_dir: str, raw_base: str, checkpoint_lo
                   transform=lambda df: payloads.flatten_measurements(df, run_ts),
                   max_files_per_trigger=max_files_per_trigger, options=options,
                   partition_by=("month", merge.month_of("date_utc")))
+
+
+def stream_day_pages(spark: SparkSession, pages_dir: str, raw_base: str,
+                     checkpoint_location: str, page_rows: int, run_ts=None,
+                     max_files_per_trigger: int | None = None) -> None:
+    """The paged form of the fact load: readings into ``raw.measurements``, the
+    pages into the ledger beside it (``raw_base/_ledger``)."""
+    from cityair.streaming.incremental import stream_pages
+
+    raw = RawPaths(raw_base)
+    stream_pages(spark, pages_dir, raw.path("measurements"), raw.path("_ledger"),
+                 checkpoint_location, page_rows, run_ts, max_files_per_trigger)
+
+
+def pending_sensors(spark: SparkSession, candidates: DataFrame, raw_base: str) -> DataFrame:
+    """Sensors still to be loaded, by the ledger alone (the fact isn't read)."""
+    return ledger.pending(candidates, ledger.read(spark, RawPaths(raw_base).path("_ledger")))

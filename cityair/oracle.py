@@ -197,6 +197,33 @@ FROM capitals c LEFT JOIN (
          sum(sensor_count) AS sensors_total
   FROM pairs GROUP BY capital_cca2) p ON c.cca2 = p.cca2""", ["capitals", "pairs"])
 
+cte("survey_errors", f"""
+SELECT s.country, s.cca2, s.capital,
+       CASE WHEN e.error IS NULL THEN s.total_locations END AS total_locations,
+       CASE WHEN e.error IS NULL THEN s.active_locations END AS active_locations,
+       CASE WHEN e.error IS NULL THEN s.earliest_data END AS earliest_data,
+       CASE WHEN e.error IS NULL THEN s.latest_data END AS latest_data,
+       CASE WHEN e.error IS NULL THEN s.sensors_total END AS sensors_total, e.error
+FROM survey s LEFT JOIN (
+  SELECT capital_cca2 AS cca2,
+         CASE WHEN any_value(no) % 11 = 7 THEN '503 Server Error for ' || capital_cca2
+              ELSE min('malformed record: {{"id":' || location_id || ',"name":"' || name || '"')
+                     FILTER (WHERE location_id % 40 = 0)
+                   || CASE WHEN count(*) FILTER (WHERE location_id % 40 = 0) > 1
+                      THEN ' (and ' || (count(*) FILTER (WHERE location_id % 40 = 0) - 1)
+                           || ' more)' ELSE '' END END AS error
+  FROM (SELECT *, CAST(nullif(substring(capital_cca2, 2), 'Z') AS INTEGER) AS no FROM pairs)
+  WHERE no % 11 = 7 OR no % 9 = 4 GROUP BY capital_cca2) e ON s.cca2 = e.cca2""",
+    ["survey", "pairs"])
+
+cte("ledger", """
+SELECT sensor_id, location_id, n, n // 8 AS pages_loaded, n // 8 * 8 AS rows_loaded
+FROM (SELECT CAST(c_custkey * 10 + i AS BIGINT) AS sensor_id, c_custkey AS location_id
+      FROM (SELECT c_custkey, unnest(range(1, CAST(c_custkey % 4 AS INTEGER) + 1)) AS i
+            FROM customer)) s
+LEFT JOIN (SELECT sensor_id AS id, count(*) AS n FROM meas GROUP BY sensor_id)
+  ON id = sensor_id""", ["meas"])
+
 cte("coords", """
 SELECT capital_name AS city, avg(latitude) AS lat, avg(longitude) AS lon
 FROM locs GROUP BY capital_name""", ["locs"])
@@ -354,6 +381,11 @@ ORACLE = {
               FROM customer)
         WHERE CAST(c_custkey * 10 + i AS BIGINT) NOT IN (SELECT sensor_id FROM meas)""",
                            "meas"),
+    "pending_by_ledger": sql("""
+        SELECT sensor_id, location_id, CAST(coalesce(pages_loaded, 0) AS BIGINT) AS pages_loaded,
+               CAST(coalesce(rows_loaded, 0) AS BIGINT) AS rows_loaded,
+               CASE WHEN n IS NULL AND location_id % 3 = 0 THEN 'new' ELSE 'failed' END AS state
+        FROM ledger WHERE sensor_id % 7 = 3 OR n IS NULL AND location_id % 3 = 0""", "ledger"),
     "capitals_dim": sql(f"SELECT country, cca2, capital, {R('lat')}, {R('lon')} FROM capitals",
                         "capitals"),
     "capitals_csv": sql(f"SELECT country, cca2, capital, {R('lat')}, {R('lon')} FROM capitals",
@@ -378,6 +410,11 @@ ORACLE = {
         WHERE active_locations > 0
         ORDER BY active_locations DESC NULLS LAST, sensors_total DESC NULLS LAST, cca2
         LIMIT 15""", "survey"),
+    "survey_errors": sql("SELECT * FROM survey_errors", "survey_errors"),
+    "stations_per_page": sql(f"""
+        SELECT {PAIR_COLS} FROM pairs
+        QUALIFY row_number() OVER (PARTITION BY capital_cca2 ORDER BY location_id) <= 5""",
+                             "pairs"),
     "survey_summary": sql("""
         SELECT count(*) AS capitals_surveyed,
                CAST(count(*) FILTER (WHERE total_locations > 0) AS BIGINT) AS with_any_data,

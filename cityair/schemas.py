@@ -83,6 +83,15 @@ DAY_PAYLOAD = _s(
 
 DAY_ENVELOPE = _s(("sensor_id", L), ("reading", DAY_PAYLOAD), ("ingested_at", TS))
 
+# One page of a sensor's day search as landed: its readings (none on an empty
+# page), or the error that ended the request.
+DAY_PAGE = _s(("sensor_id", L), ("page", I), ("results", ArrayType(DAY_PAYLOAD)), ("error", S),
+              ("ingested_at", TS))
+
+# One row a landed page: what the load ledger knows of it.
+PAGE_LEDGER = _s(("sensor_id", L), ("page", I), ("rows", L), ("state", S), ("error", S),
+                 ("ingested_at", TS))
+
 # ---- models -----------------------------------------------------------------
 STG_AIR_QUALITY = _s(("measurement_id", S), ("city", S), ("country", S),
                      ("parameter", S), ("value", D), ("max_value", D), ("unit", S),

@@ -23,13 +23,16 @@ def read_json(spark: SparkSession, path, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def read_json_with_quarantine(spark: SparkSession, path, schema: StructType
+def read_json_with_quarantine(spark: SparkSession, path, schema: StructType, lineage=()
                               ) -> tuple[DataFrame, DataFrame]:
     """PERMISSIVE scan that splits parsed rows from malformed lines.
 
     Returns ``(good, quarantine)``; ``quarantine`` holds the raw text of every
     line that did not parse (``raw_record``) and its ``source_file``, so one
-    bad record never stops the rest of the load. The JSON is parsed once
+    bad record never stops the rest of the load. ``lineage`` names partition
+    columns of the landed folder (``capital_cca2=GR/``): they come from the
+    path, so a line of which nothing parses still carries them, and both
+    outputs keep them. The JSON is parsed once
     into a Parquet copy in the checkpoint folder and both outputs read that
     copy (Spark also refuses queries on raw JSON that read only the
     corrupt-record column).
@@ -43,7 +46,7 @@ def read_json_with_quarantine(spark: SparkSession, path, schema: StructType
              .withColumn("source_file", F.input_file_name()), "payload_parsed")
     good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "source_file")
     bad = (parsed.where(F.col(CORRUPT).isNotNull())
-                 .select(F.col(CORRUPT).alias("raw_record"), "source_file"))
+                 .select(F.col(CORRUPT).alias("raw_record"), "source_file", *lineage))
     return good, bad
 
 
@@ -184,6 +187,23 @@ def ingest_stations(spark: SparkSession, path, run_ts=None, tags=None,
     return flatten_locations(landed, run_ts), explode_sensors(landed, run_ts)
 
 
+def read_station_pages(spark: SparkSession, path,
+                       quarantine_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Station search results as landed a capital: ``<path>/capital_cca2=GR/*``.
+
+    A line is a station object, or ``{"error": "..."}`` where the request for
+    the capital failed. Returns ``(pages, quarantine)``, both with the
+    ``capital_cca2`` they were fetched for; with ``quarantine_path`` the
+    malformed lines are appended there too.
+    """
+    schema = schemas.with_fields(schemas.LOCATION_PAYLOAD, ("error", StringType()),
+                                 ("capital_cca2", StringType()))
+    pages, bad = read_json_with_quarantine(spark, path, schema, ("capital_cca2",))
+    if quarantine_path is not None:
+        bad.write.mode("append").parquet(quarantine_path)
+    return pages, bad
+
+
 def read_payload(spark: SparkSession, path, schema: StructType,
                  quarantine_path: str | None = None) -> DataFrame:
     """Read landed JSON; with ``quarantine_path``, malformed lines are

@@ -9,7 +9,7 @@ the scans, so they grow with the input like the real tables would.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cityair import schemas
@@ -275,6 +275,76 @@ def capitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capitals_dim(countries(spark, sf_dir))
 
 
+def land_station_pages(spark: SparkSession, sf_dir: str, pairs: DataFrame, path: str) -> None:
+    """Station searches as landed a capital: the stations of its box as JSON
+    lines under ``capital_cca2=<code>/``. For capitals whose number leaves 4
+    by 9, every 40th station's line is cut off after its name; for those that
+    leave 7 by 11 the request failed and one error line is all there is."""
+    objects = location_payloads(spark, sf_dir, False)
+    line = objects.select(F.col("id").alias("location_id"), F.to_json(F.struct(
+        *[F.col(c) for c in objects.columns])).alias("line"))
+    number = F.expr("try_cast(substring(capital_cca2, 2) AS INT)")
+    lines = pairs.select("location_id", "capital_cca2").join(line, "location_id")
+    cut = (number % 9 == 4) & (F.col("location_id") % 40 == 0)
+    landed = lines.where(F.coalesce(number % 11 != 7, F.lit(True))).select("capital_cca2", F.when(
+        cut, F.substring_index("line", ',"locality"', 1)).otherwise(F.col("line")).alias("value"))
+    failed = pairs.where(number % 11 == 7).select("capital_cca2").distinct().select(
+        "capital_cca2", F.to_json(F.struct(F.concat(
+            F.lit("503 Server Error for "), F.col("capital_cca2")).alias("error"))).alias("value"))
+    landed.unionByName(failed).write.partitionBy("capital_cca2").text(path)
+
+
+PAGE_ROWS = 8  # readings a page of the stand-in day search
+
+
+@_memo
+def day_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of the day search: (sensor_id, page, results, error, ingested_at).
+
+    A sensor's readings come in pages of ``PAGE_ROWS``; the page that holds
+    fewer (none, if they fill the pages before it) is the last one. For
+    sensors whose id leaves 3 by 7 the last page failed. Sensors without
+    readings have one empty page, but for stations divisible by 3, which were
+    never asked."""
+    days = measurements_daily(spark, sf_dir).select(
+        "sensor_id", "date_utc", F.row_number().over(
+            Window.partitionBy("sensor_id").orderBy("date_utc")).alias("n"))
+    env = day_envelopes(spark, sf_dir).select(
+        "sensor_id", "reading", "ingested_at",
+        F.to_timestamp(F.col("reading.period.datetimeFrom.utc")).alias("date_utc"))
+    one = env.groupBy("sensor_id", "date_utc").agg(
+        F.max_by("reading", "ingested_at").alias("reading"),
+        F.max("ingested_at").alias("ingested_at"))
+    pages = (days.join(one, ["sensor_id", "date_utc"])
+             .groupBy("sensor_id", (F.floor((F.col("n") - 1) / PAGE_ROWS) + 1).cast("int")
+                      .alias("page"))
+             .agg(F.collect_list("reading").alias("results"),
+                  F.max("ingested_at").alias("ingested_at")))
+    known = explode_candidates(spark, sf_dir)
+    count = days.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("rows"))
+    ends = known.select("sensor_id", "location_id").unionByName(
+        count.join(known, "sensor_id", "left_anti").select(
+            "sensor_id", F.lit(1).cast("long").alias("location_id"))).join(
+        count, "sensor_id", "left").select(
+        "sensor_id", "location_id", F.coalesce("rows", F.lit(0)).alias("rows"))
+    last = ends.where((F.col("rows") > 0) | (F.col("location_id") % 3 != 0)).select(
+        "sensor_id", (F.floor(F.col("rows") / PAGE_ROWS) + 1).cast("int").alias("page"))
+    kind = pages.schema["results"].dataType.simpleString()
+    both = pages.join(last.withColumn("is_last", F.lit(True)), ["sensor_id", "page"], "full")
+    bad = F.coalesce(F.col("is_last"), F.lit(False)) & (F.col("sensor_id") % 7 == 3)
+    return both.select(
+        "sensor_id", "page",
+        F.when(~bad, F.coalesce("results", F.expr(f"CAST(array() AS {kind})"))).alias("results"),
+        F.when(bad, F.lit("504 Gateway Timeout")).alias("error"),
+        F.coalesce("ingested_at", F.lit(RUN_TS).cast("timestamp")).alias("ingested_at"))
+
+
+def explode_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensors of the station search: the candidates of a reading load."""
+    return payloads.explode_sensors(location_payloads(spark, sf_dir, False), RUN_TS).select(
+        "sensor_id", "location_id")
+
+
 # ---- monthly series ---------------------------------------------------------
 @_memo
 def order_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

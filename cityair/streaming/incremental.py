@@ -76,3 +76,39 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: StructType,
     if wait:
         q.awaitTermination()
     return q
+
+
+def stream_pages(spark: SparkSession, pages_dir: str, measurements_path: str, ledger_path: str,
+                 checkpoint_location: str, page_rows: int, run_ts=None,
+                 max_files_per_trigger: int | None = None,
+                 on_batch: Callable[[DataFrame, str], None] | None = None) -> StreamingQuery:
+    """Load new page files (``schemas.DAY_PAGE``, JSON lines): each micro-batch
+    upserts its readings and then enters its pages in the ledger, so a restart
+    after a stop knows finished sensors from half-loaded ones.
+
+    The ledger partition is named after the query and the batch; the query's id
+    lives in its checkpoint, so a replayed batch overwrites its own rows and
+    another query never does. ``on_batch(batch, load_id)`` runs after both
+    (for instance a refresh of the city-day table).
+    """
+    from cityair import schemas
+    from cityair.operators import ledger
+
+    reader = spark.readStream.schema(schemas.DAY_PAGE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        own = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_id = f"{own}-{batch_id}"
+        ledger.load_pages(batch, measurements_path, ledger_path, load_id, page_rows, run_ts)
+        if on_batch is not None:
+            on_batch(batch, load_id)
+
+    q = (reader.json(pages_dir).writeStream.foreachBatch(each)
+         .option("checkpointLocation", checkpoint_location)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

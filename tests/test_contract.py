@@ -29,5 +29,5 @@ def test_entry_module_contract():
     assert callable(E.entry)
     q, o = E.queries(), E.oracle_sql()
     own = {k for k in q if k != "pipeline" and not k.startswith("op")}
-    assert len(own) == 55 and own <= set(o) and set(o) <= set(q)
+    assert len(own) >= 58 and own <= set(o) and set(o) <= set(q)
     assert all(isinstance(s, str) and s.strip() for s in o.values())
