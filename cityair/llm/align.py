@@ -27,6 +27,7 @@ from __future__ import annotations
 import array
 import base64
 import hashlib
+import json
 import re
 
 import numpy as np
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 
 from cityair.llm.common import discard, landed
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+UNITS = 1 << 14  # aligned at a time: bounds the lists of tokens in memory
 HOT_SHARE = 1000
 MARK = "▁"
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -56,9 +58,8 @@ class Pair:
         import public_tokenizers
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
-        special = [t.content for t in
-                   Tokenizer.from_file(a).get_added_tokens_decoder().values()]
+        with open(a, encoding="utf-8") as f:
+            special = [t["content"] for t in json.load(f)["added_tokens"]]
         with open(re.sub(r"[.]json$", ".tiktoken", a), "rb") as f:
             ranks = {base64.b64decode(x): int(y) for x, y in map(bytes.split, f)}
         # The same ids without special tokens: their strings are ordinary text.
@@ -86,37 +87,44 @@ class Pair:
 
 
 class Aligned:
-    """Units' counts, group strings and links, None where tokens don't spell them."""
+    """Units' counts, group strings and links; ``ok`` where tokens spell them."""
 
     def __init__(self, pair: Pair, units: list[str]):
-        a = [pair.a.encode_ordinary(" " + u) for u in units]
-        b = pair.b.encode(units, num_threads=1) if units else []
-        b_of = pair.b_bytes.__getitem__
-        a_of = pair.a_bytes.__getitem__
-        self.ok = np.array([b"".join(map(a_of, x)) == (want := b" " + u.encode())
-                            and b"".join(map(b_of, y)) == want
-                            for u, x, y in zip(units, a, b)], bool)
-        a = [x if ok else [] for x, ok in zip(a, self.ok)]
-        b = [x if ok else [] for x, ok in zip(b, self.ok)]
-        self.n_a, self.n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        ids_a, ids_b = (np.fromiter((i for x in y for i in x), np.int64) for y in (a, b))
-        # All units on one line of bytes: their ends are ends in both.
-        end_a, end_b = np.cumsum(pair.a_size[ids_a]), np.cumsum(pair.b_size[ids_b])
-        cuts = np.union1d(end_a, end_b)
-        at_a, at_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
-        self.links = ids_a[at_a] << 32 | ids_b[at_b]
-        shared = (end_a[at_a] == cuts) & (end_b[at_b] == cuts)
-        self.link_unit = np.repeat(np.arange(len(units)), self.n_a)[at_a]
-        self.n_links = np.bincount(self.link_unit, minlength=len(units))
-        group_unit = self.link_unit[shared]
-        self.n_groups = np.bincount(group_unit, minlength=len(units))
-        text_a, text_b = (list(map(str, x.tolist())) for x in (ids_a, ids_b))
-        stop_a, stop_b = (at_a[shared] + 1).tolist(), (at_b[shared] + 1).tolist()
-        groups = [f"{','.join(text_a[i:j])}|{','.join(text_b[k:m])}" for i, j, k, m in
-                  zip([0, *stop_a], stop_a, [0, *stop_b], stop_b)]
-        first = np.cumsum(self.n_groups) - self.n_groups
-        self.groups = [";".join(groups[s:s + n]) for s, n in
-                       zip(first.tolist(), self.n_groups.tolist())]
+        parts = [_aligned_units(pair, units[i:i + UNITS], i)
+                 for i in range(0, len(units), UNITS)] or [_aligned_units(pair, [], 0)]
+        (self.ok, self.n_a, self.n_b, self.n_groups, self.n_links, self.links,
+         self.link_unit) = (np.concatenate([p[c] for p in parts]) for c in range(7))
+        self.groups = [g for p in parts for g in p[7]]
+
+
+def _aligned_units(pair: Pair, units: list[str], base: int):
+    a = [pair.a.encode_ordinary(" " + u) for u in units]
+    b = pair.b.encode(units, num_threads=1) if units else []
+    a_of, b_of = pair.a_bytes.__getitem__, pair.b_bytes.__getitem__
+    ok = np.array([b"".join(map(a_of, x)) == (want := b" " + u.encode())
+                   and b"".join(map(b_of, y)) == want
+                   for u, x, y in zip(units, a, b)], bool)
+    if not ok.all():
+        a, b = ([x if good else [] for x, good in zip(y, ok)] for y in (a, b))
+    n_a, n_b = (np.fromiter(map(len, x), np.int32, len(x)) for x in (a, b))
+    ids_a, ids_b = (np.fromiter((i for x in y for i in x), np.int64) for y in (a, b))
+    del a, b
+    # All units on one line of bytes: their ends are ends in both.
+    end_a, end_b = np.cumsum(pair.a_size[ids_a]), np.cumsum(pair.b_size[ids_b])
+    cuts = np.union1d(end_a, end_b)
+    at_a, at_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
+    shared = (end_a[at_a] == cuts) & (end_b[at_b] == cuts)
+    unit = np.repeat(np.arange(len(units), dtype=np.int32), n_a)[at_a]
+    n_groups = np.bincount(unit[shared], minlength=len(units)).astype(np.int32)
+    text_a, text_b = (list(map(str, x.tolist())) for x in (ids_a, ids_b))
+    stop_a, stop_b = (at_a[shared] + 1).tolist(), (at_b[shared] + 1).tolist()
+    groups = [f"{','.join(text_a[i:j])}|{','.join(text_b[k:m])}" for i, j, k, m in
+              zip([0, *stop_a], stop_a, [0, *stop_b], stop_b)]
+    first = np.cumsum(n_groups) - n_groups
+    return (ok, n_a, n_b, n_groups,
+            np.bincount(unit, minlength=len(units)).astype(np.int32),
+            ids_a[at_a] << 32 | ids_b[at_b], unit + np.int32(base),
+            [";".join(groups[s:s + n]) for s, n in zip(first.tolist(), n_groups.tolist())])
 
 
 def tokenizers(a: str, b: str) -> Pair:
