@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType
 
 from cityair import schemas
 from cityair.operators import geo, ledger, merge
+from cityair.plans import incremental
 from cityair.plans.models import Models, build_models
 from cityair.sources import payloads, seeds, sinks
 
@@ -93,13 +94,30 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], table_path: str | None
                         seeds.molecular_weights(spark), table_path)
 
 
+def build_incremental(spark: SparkSession, raw: dict[str, DataFrame], table_path: str) -> None:
+    """Write the whole city-day table in the layout that ``refresh`` keeps."""
+    incremental.build(raw["measurements"], raw["sensors"], raw["locations"],
+                      seeds.molecular_weights(spark), table_path)
+
+
+def refresh(spark: SparkSession, batch: DataFrame, raw_base: str, table_path: str) -> list[str]:
+    """Bring the city-day table up to date after ``batch`` (readings) was
+    upserted into the raw fact: only the city-days it touches are computed,
+    only their months read and written. Returns those months."""
+    raw = read_raw(spark, raw_base)
+    days = incremental.touched_by_readings(batch, raw["sensors"], raw["locations"])
+    return incremental.refresh(days, raw["measurements"], raw["sensors"], raw["locations"],
+                               seeds.molecular_weights(spark), table_path)
+
+
 def stream_days(spark: SparkSession, days_dir: str, raw_base: str, checkpoint_location: str,
                 run_ts=None, max_files_per_trigger: int | None = None,
-                options: dict | None = None) -> None:
+                options: dict | None = None, table_path: str | None = None) -> None:
     """Incremental form of the fact load: new day files under ``days_dir``
     are upserted into the month-partitioned ``raw.measurements`` (only the
     months they touch are rewritten); the query checkpoint remembers which
     files were loaded, so a re-run after a stop continues where it stopped.
+    With ``table_path`` each batch then refreshes the city-day table there.
     """
     from cityair.streaming.incremental import upsert_stream
 
@@ -107,7 +125,9 @@ def stream_days(spark: SparkSession, days_dir: str, raw_base: str, checkpoint_lo
                   checkpoint_location, ["sensor_id", "date_utc"],
                   transform=lambda df: payloads.flatten_measurements(df, run_ts),
                   max_files_per_trigger=max_files_per_trigger, options=options,
-                  partition_by=("month", merge.month_of("date_utc")))
+                  partition_by=("month", merge.month_of("date_utc")),
+                  on_batch=table_path and (lambda batch: refresh(
+                      batch.sparkSession, batch, raw_base, table_path)))
 
 
 def stream_day_pages(spark: SparkSession, pages_dir: str, raw_base: str,

@@ -320,6 +320,12 @@ ORACLE = {
     "pollution_ranking": sql(f"""
         SELECT city, country, parameter, {R('overall_avg_value')}, {R('overall_max_value')},
                pollution_rank FROM ranking""", "ranking"),
+    "pollution_ranking_ranges": sql(f"""
+        SELECT city, country, parameter, {R('overall_avg_value')}, {R('overall_max_value')},
+               pollution_rank FROM ranking""", "ranking"),
+    "city_daily_incremental": sql(f"""
+        SELECT city, country, parameter, reading_date, {R('avg_value')}, {R('max_value')},
+               num_readings FROM cda""", "cda"),
     "top10_pm25": sql(f"""
         SELECT city, {R('overall_avg_value')}, pollution_rank FROM ranking
         WHERE parameter = 'pm25' ORDER BY pollution_rank, city, country LIMIT 10""", "ranking"),
@@ -443,6 +449,11 @@ ORACLE = {
               FROM monthly)
         WHERE month_rank <= 15""", "monthly"),
     "colour_caps": sql(f"SELECT parameter, {R('cmax')}, {R('xmax')} FROM caps", "caps"),
+    "value_quantiles": sql(f"""
+        SELECT parameter, count(value) AS n, {rnd('quantile_cont(value, 0.5)')} AS median,
+               {rnd('quantile_cont(value, 0.95)')} AS q95,
+               {rnd('quantile_cont(value, 0.98)')} AS q98
+        FROM stg GROUP BY parameter HAVING count(value) > 0""", "stg"),
     "alltime_colour_caps": sql(f"""
         SELECT parameter, {rnd('quantile_cont(avg_value, 0.95)')} AS cmax,
                {rnd('quantile_cont(avg_value, 0.98) * ' + D('1.05'))} AS xmax

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityair.functions import constants as K
+from cityair.operators.selection import GATHER_ROWS, ranked
 
 
 def city_daily_avg(stg: DataFrame, extra_keys=()) -> DataFrame:
@@ -22,12 +23,29 @@ def city_daily_avg(stg: DataFrame, extra_keys=()) -> DataFrame:
                     F.count(F.lit(1)).alias("num_readings")))
 
 
-def pollution_ranking(cda: DataFrame) -> DataFrame:
+# Up to this many city-days (and so cities) the ranking is one window.
+MAX_WINDOW_ROWS = 1_000_000
+
+
+def overall_by_city(cda: DataFrame) -> DataFrame:
+    return (cda.groupBy("city", "country", "parameter")
+               .agg(F.avg("avg_value").alias("overall_avg_value"),
+                    F.max("max_value").alias("overall_max_value")))
+
+
+def pollution_ranking(cda: DataFrame, max_window_rows: int = MAX_WINDOW_ROWS,
+                      range_rows: int = GATHER_ROWS) -> DataFrame:
     """Per city and pollutant: overall mean of daily means (unweighted), max,
-    and ``rank()`` within the pollutant, highest first, NULL averages first."""
-    overall = (cda.groupBy("city", "country", "parameter")
-                  .agg(F.avg("avg_value").alias("overall_avg_value"),
-                       F.max("max_value").alias("overall_max_value")))
+    and ``rank()`` within the pollutant, highest first, NULL averages first.
+
+    A window sorts a pollutant's cities in one task. Beyond a checked bound
+    of rows the ranks are made in ranges of values instead (``ranked``), so no
+    task holds a pollutant, whatever the number of cities."""
+    overall = overall_by_city(cda)
+    if cda.limit(max_window_rows + 1).count() > max_window_rows:
+        if overall.limit(max_window_rows + 1).count() > max_window_rows:
+            return ranked(overall, ["parameter"], "overall_avg_value", "pollution_rank",
+                          range_rows)
     w = Window.partitionBy("parameter").orderBy(F.desc_nulls_first("overall_avg_value"))
     return overall.withColumn("pollution_rank", F.rank().over(w))
 

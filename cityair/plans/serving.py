@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from cityair.functions import constants as K
 from cityair.functions.expressions import marker_size, month_key, round_half_even_1
+from cityair.operators.joins import broadcast_if_bounded
+from cityair.operators.selection import GATHER_ROWS, exact_quantiles
 
 
 def city_coords(locations: DataFrame) -> DataFrame:
@@ -75,16 +77,28 @@ def distinct_values(cda: DataFrame, monthly: DataFrame | None = None) -> DataFra
     return stacked.distinct().orderBy("list_name", F.asc_nulls_last("value"))
 
 
-def colour_caps(monthly: DataFrame) -> DataFrame:
+# One row a pollutant is broadcast up to this many of them.
+MAX_BROADCAST_PARAMETERS = 10_000
+# Up to this many rows a pollutant's quantiles are one aggregate.
+MAX_PERCENTILE_ROWS = 1_000_000
+
+
+def colour_caps(monthly: DataFrame, max_rows: int = MAX_PERCENTILE_ROWS,
+                gather: int = GATHER_ROWS) -> DataFrame:
     """Colour cap (0.95 quantile) and axis cap (0.98 quantile x 1.05) per
-    pollutant, with linear interpolation (exact ``percentile``, not approx).
+    pollutant, with linear interpolation (exact, never approximate).
 
-    The input is one row per city-month, so each group stays small however
-    large the fact table grows."""
-    q = F.percentile("avg_value", F.array(F.lit(K.COLOUR_QUANTILE), F.lit(K.AXIS_QUANTILE)))
-    return (monthly.groupBy("parameter").agg(q.alias("q"))
-                   .select("parameter", F.col("q")[0].alias("cmax"),
-                           (F.col("q")[1] * K.AXIS_HEADROOM).alias("xmax")))
+    ``percentile`` holds a pollutant's distinct values in one task, so it is
+    used up to a checked number of rows; beyond it the ranks are selected by
+    narrowing brackets (``exact_quantiles``), which gives the same numbers."""
+    if monthly.limit(max_rows + 1).count() <= max_rows:
+        q = F.percentile("avg_value", F.array(F.lit(K.COLOUR_QUANTILE), F.lit(K.AXIS_QUANTILE)))
+        found = monthly.groupBy("parameter").agg(q.alias("q"))
+    else:
+        found = exact_quantiles(monthly, ["parameter"], "avg_value",
+                                (K.COLOUR_QUANTILE, K.AXIS_QUANTILE), gather)
+    return found.select("parameter", F.col("q")[0].alias("cmax"),
+                        (F.col("q")[1] * K.AXIS_HEADROOM).alias("xmax"))
 
 
 def map_frames(monthly: DataFrame, caps: DataFrame | None = None) -> DataFrame:
@@ -93,7 +107,8 @@ def map_frames(monthly: DataFrame, caps: DataFrame | None = None) -> DataFrame:
     The caps are one row per pollutant and meet the frames by an equi-join
     on ``parameter``."""
     caps = colour_caps(monthly) if caps is None else caps
-    return (monthly.join(F.broadcast(caps), "parameter", "inner")
+    caps = broadcast_if_bounded(caps, MAX_BROADCAST_PARAMETERS)
+    return (monthly.join(caps, "parameter", "inner")
                    .select("parameter", "ym", "city", "country", "lat", "lon", "avg_value",
                            marker_size("avg_value", "cmax").alias("marker_size"),
                            round_half_even_1("avg_value").alias("label_value")))
@@ -102,7 +117,8 @@ def map_frames(monthly: DataFrame, caps: DataFrame | None = None) -> DataFrame:
 def latest_month(monthly: DataFrame) -> DataFrame:
     """Rows of the latest month (the initial frame), per pollutant."""
     last = monthly.groupBy("parameter").agg(F.max("ym").alias("ym"))
-    return monthly.join(F.broadcast(last), ["parameter", "ym"], "inner")
+    return monthly.join(broadcast_if_bounded(last, MAX_BROADCAST_PARAMETERS),
+                        ["parameter", "ym"], "inner")
 
 
 def city_trend(spark: SparkSession, cda: DataFrame, city: str, parameter: str) -> DataFrame:

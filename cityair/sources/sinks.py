@@ -123,7 +123,8 @@ def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: st
     staged in the checkpoint folder (Spark cannot overwrite a path it is
     reading) and written back with dynamic partition overwrite; all other
     partitions are left as they are. Re-running a batch converges to the same
-    table, so a retry after a failure is safe.
+    table, so a retry after a failure is safe. It is not one commit: until it
+    ends, a reader can see some partitions of the batch and not others.
 
     Returns the touched partition values (a short list: one value per month
     present in the batch).
@@ -154,6 +155,47 @@ def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: st
     return touched
 
 
+def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e).lower():
+            raise
+        return None
+
+
+def replace_partitions(df: DataFrame, table_path: str, partition_by, table: DataFrame | None,
+                       scope) -> None:
+    """Make ``df`` the content of those partitions of a Parquet table that
+    satisfy ``scope`` (a predicate on partition columns).
+
+    ``df`` may read the table: it is staged in the checkpoint folder first.
+    Partitions with rows are overwritten; those of the scope that have none
+    any more are removed, which a dynamic overwrite alone would leave behind.
+    Not one commit: a reader can see some partitions replaced before others.
+    Repeating the call converges, so a retry after a failure is safe.
+    """
+    spark = df.sparkSession
+    partition_by = list(partition_by)
+    staged = materialize(df, "replace_stage", partition_by=tuple(partition_by))
+    gone = []
+    if table is not None:
+        # One row a partition, on either side.
+        gone = table.where(scope).select(*partition_by).distinct().exceptAll(
+            staged.select(*partition_by).distinct()).collect()
+    (clustered(staged, tuple(partition_by)).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*partition_by).parquet(table_path))
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog \
+        .ExternalCatalogUtils.getPartitionPathString
+    for row in gone:
+        folder = "/".join(escape(c, row[c]) for c in partition_by)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            f"{table_path.rstrip('/')}/{folder}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # ---- bucketed tables ----------------------------------------------------------
 def save_bucketed_table(df: DataFrame, table: str, buckets: int, key: str,
                         partition_by=(), path: str | None = None) -> DataFrame:

@@ -43,7 +43,8 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: StructType,
                   fmt: str = "json", ts: str = "ingested_at",
                   max_files_per_trigger: int | None = None,
                   options: dict | None = None, partition_by: tuple | None = None,
-                  wait: bool = True) -> StreamingQuery:
+                  wait: bool = True,
+                  on_batch: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Read new files under ``source_dir`` and upsert them into ``target_base``.
 
     Runs with ``trigger(availableNow=True)``: everything landed so far is
@@ -53,6 +54,7 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: StructType,
     ``partition_by=(column, expression)`` switches the sink from full
     versioned snapshots to a partitioned table where each batch rewrites only
     the partitions it touches (the form to use for a large fact table).
+    ``on_batch`` runs after each batch's upsert, before the batch counts as done.
     """
     reader = spark.readStream.schema(schema).format(fmt).options(**(options or {}))
     if max_files_per_trigger:
@@ -69,6 +71,8 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: StructType,
                                     partition_by[1], ts)
         else:
             upsert_batch(batch, target_base, keys, ts)
+        if on_batch:
+            on_batch(batch)
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint_location)
