@@ -36,14 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityair.llm.common import discard, landed
+from cityair.llm.common import discard, landed, once
 
 CHUNK_BYTES = 8 << 20
 UNITS = 1 << 14  # aligned at a time: bounds the lists of tokens in memory
 HOT_SHARE = 1000
 MARK = "▁"
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-_TOKENIZERS: dict = {}
 
 
 def vocabularies() -> tuple[str, str]:
@@ -128,9 +127,7 @@ def _aligned_units(pair: Pair, units: list[str], base: int):
 
 
 def tokenizers(a: str, b: str) -> Pair:
-    if (a, b) not in _TOKENIZERS:
-        _TOKENIZERS[a, b] = Pair(a, b)
-    return _TOKENIZERS[a, b]
+    return once(("pair", a, b), lambda: Pair(a, b))
 
 
 class Chunk:

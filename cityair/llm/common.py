@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import sys
 import time
 
 import numpy as np
@@ -49,6 +50,16 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def once(key, build):
+    """``build()``, made once a process. Functions travel to tasks by value, with
+    the module globals they use: a table kept in such a global would travel with
+    them, and be a task's own. What is kept here stays in the process."""
+    kept = sys.__dict__.setdefault("_cityair_kept", {})
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -75,5 +86,5 @@ def unit(x: np.ndarray, salt: int) -> np.ndarray:
     return ((mix64(x, salt) >> U64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
-__all__ = ["F", "WORD", "U64", "table", "landed", "discard", "reclaim", "shuffle_partitions", "unused",
-           "mix64", "unit"]
+__all__ = ["F", "WORD", "U64", "table", "landed", "discard", "reclaim", "once",
+           "shuffle_partitions", "unused", "mix64", "unit"]

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityair.llm.common import landed
+from cityair.llm.common import landed, once
 
 MODULUS, HELD = 7, 2
 ROUNDS = 4
@@ -46,7 +46,6 @@ CHUNK_BYTES = 32 << 20
 BATCH_BYTES = 1 << 20
 MARK = "▁".encode()
 ALPHA = 0.1
-_TRIES: dict = {}
 
 
 def vocabulary() -> str:
@@ -101,9 +100,7 @@ class Trie:
 
 
 def trie(path: str) -> Trie:
-    if path not in _TRIES:
-        _TRIES[path] = Trie(path)
-    return _TRIES[path]
+    return once(("trie", path), lambda: Trie(path))
 
 
 class Lattice:
