@@ -23,7 +23,8 @@ from cityair.functions.expressions import surrogate_key, passes_unit_caps
 from cityair.operators import geo, ledger, merge, quality
 from cityair.operators.selection import exact_quantiles
 from cityair.plans import extras, incremental, marts, serving, staging, survey
-from cityair.sources import payloads, seeds, standins as S
+from cityair.sources import (drift, loads, namespaces, payloads, seeds, sinks,
+                             standins as S)
 from cityair.sources.sinks import (materialize, scratch_path, upsert_partitions,
                                    write_report_csv)
 
@@ -309,6 +310,46 @@ def _value_quantiles(w: World) -> DataFrame:
         ("median", "q95", "q98"))])
 
 
+def _load_metrics(w: World) -> DataFrame:
+    """Four tables written with observed counters; nothing is read again."""
+    watch, spark = loads.Watch(), w.spark
+    for name, columns in (("countries", ("alpha_2", "capital_lat")),
+                          ("locations", ("location_id", "capital_cca2")),
+                          ("sensors", ("sensor_id",))):
+        sinks.write_snapshot(w.raw(name), scratch_path(spark, f"observed_{name}"), 0,
+                             watch(name, columns))
+    upsert_partitions(w.readings, scratch_path(spark, "observed_measurements"),
+                      ["sensor_id", "date_utc"], "month", merge.month_of("date_utc"),
+                      through=watch("measurements_daily", ("sensor_id", "value_avg")))
+    log = scratch_path(spark, "load_log")
+    loads.log(spark, log, S.RUN_TS, watch.figures)
+    return loads.null_shares(loads.read_log(spark, log))
+
+
+def _payload_drift(w: World) -> DataFrame:
+    path = scratch_path(w.spark, "drifting_lines")
+    S.drifting_lines(w.spark, w.sf_dir).write.text(path)
+    return drift.drift_report(w.spark.read.text(path), schemas.LOCATION_PAYLOAD)
+
+
+def _models_by_name(w: World) -> DataFrame:
+    """Raw tables and models published in the catalog, then counted by name in
+    another session of the application."""
+    base = scratch_path(w.spark, "published")
+    for name in namespaces.DIMENSIONS:
+        sinks.write_snapshot(w.raw(name), f"{base}/raw/{name}", 0)
+    sinks.write_table(w.measurements, f"{base}/raw/measurements", ("month",))
+    incremental.build(w.measurements, w.sensors, w.locations, w.weights, f"{base}/city_daily")
+    namespaces.create(w.spark, f"{base}/schemas")
+    namespaces.publish_raw(w.spark, f"{base}/raw")
+    names = namespaces.publish_models(w.spark, f"{base}/city_daily")
+    other = w.spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    counts = [(n, other.table(n).count()) for n in
+              [*names, "raw.measurements_daily", "raw.locations", "raw.sensors", "raw.countries"]]
+    return w.spark.createDataFrame(counts, "name string, rows long")
+
+
 def _suite(w: World) -> DataFrame:
     """The seventeen checks after the model build: staging and the city-day
     table as landed by the build, the view marts as plans over the table."""
@@ -351,6 +392,9 @@ BUILDERS = {
                                    F.count(F.lit(1)).alias("rows")))
         .unionByName(w.measurements.agg(F.lit("measurements_daily").alias("table_name"),
                                         F.count(F.lit(1)).alias("rows")))),
+    "load_metrics": _load_metrics,
+    "models_by_name": _models_by_name,
+    "payload_drift": _payload_drift,
     "window_days": lambda w: merge.within_window(
         w.measurements, "date_utc", S.AS_OF, WINDOW_DAYS, partition_col="month").select(
         "sensor_id", "date_utc", "value_avg"),

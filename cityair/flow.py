@@ -18,7 +18,10 @@ from cityair import schemas
 from cityair.operators import geo, ledger, merge
 from cityair.plans import incremental
 from cityair.plans.models import Models, build_models
-from cityair.sources import payloads, seeds, sinks
+from cityair.sources import loads, namespaces, payloads, seeds, sinks
+
+# Columns of the fact whose NULLs a load counts.
+FACT_WATCHED = ("sensor_id", "date_utc", "value_avg", "percent_complete")
 
 
 @dataclass
@@ -41,7 +44,9 @@ def ingest(spark: SparkSession, countries_path, locations_path, days_path, raw_b
     Dimension tables are versioned snapshots (small); the fact table is
     partitioned by month and only the months a run touches are rewritten.
     Malformed lines of any payload are appended to ``raw_base/_quarantine``
-    and the rest of the run goes on. Returns the current raw tables.
+    and the rest of the run goes on. What the write jobs counted is logged
+    (``load_log``), so a load is verified without reading it again. Returns
+    the current raw tables.
     """
     raw = RawPaths(raw_base)
     quarantine = raw.path("_quarantine")
@@ -58,22 +63,31 @@ def ingest(spark: SparkSession, countries_path, locations_path, days_path, raw_b
     if window_days is not None:
         days = merge.within_window(days, "date_utc", as_of, window_days)
 
+    watch = loads.Watch()
     for name, df, keys in (("countries", countries, ["alpha_2"]),
                            ("locations", tagged.select(*schemas.LOCATIONS.fieldNames()),
                             ["location_id"]),
                            ("sensors", tagged_sensors, ["sensor_id"])):
-        _upsert_snapshot(df, raw.path(name), keys)
+        _upsert_snapshot(df, raw.path(name), keys, watch(name, keys))
     sinks.upsert_partitions(days, raw.path("measurements"), ["sensor_id", "date_utc"], "month",
-                            merge.month_of("date_utc"))
+                            merge.month_of("date_utc"),
+                            through=watch("measurements", FACT_WATCHED))
+    loads.log(spark, raw.path("_loads"), run_ts, watch.figures)
     return read_raw(spark, raw_base)
 
 
-def _upsert_snapshot(df: DataFrame, base: str, keys) -> None:
+def load_log(spark: SparkSession, raw_base: str) -> DataFrame:
+    """What each load's write jobs counted: (table_name, run_ts, rows, nulls).
+    Rows of the fact are those of the months that the load touched."""
+    return loads.read_log(spark, RawPaths(raw_base).path("_loads"))
+
+
+def _upsert_snapshot(df: DataFrame, base: str, keys, through) -> None:
     spark = df.sparkSession
     current = sinks.current_version(spark, base)
     existing = None if current is None else sinks.read_snapshot(spark, base, df.schema, current)
     merged = merge.merge_upsert(existing, df, keys)
-    sinks.write_snapshot(merged, base, 0 if current is None else current + 1)
+    sinks.write_snapshot(merged, base, 0 if current is None else current + 1, through)
 
 
 def read_raw(spark: SparkSession, raw_base: str) -> dict[str, DataFrame]:
@@ -145,3 +159,12 @@ def stream_day_pages(spark: SparkSession, pages_dir: str, raw_base: str,
 def pending_sensors(spark: SparkSession, candidates: DataFrame, raw_base: str) -> DataFrame:
     """Sensors still to be loaded, by the ledger alone (the fact isn't read)."""
     return ledger.pending(candidates, ledger.read(spark, RawPaths(raw_base).path("_ledger")))
+
+
+def publish(spark: SparkSession, raw_base: str, table_path: str, schema_base: str) -> list[str]:
+    """Make the raw tables and the five models readable by name from every
+    session: schemas ``raw`` and ``analytics``. ``table_path`` is a city-day
+    table as ``build_incremental`` writes it."""
+    namespaces.create(spark, schema_base)
+    namespaces.publish_raw(spark, raw_base)
+    return namespaces.publish_models(spark, table_path)

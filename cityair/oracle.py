@@ -224,6 +224,9 @@ FROM (SELECT CAST(c_custkey * 10 + i AS BIGINT) AS sensor_id, c_custkey AS locat
 LEFT JOIN (SELECT sensor_id AS id, count(*) AS n FROM meas GROUP BY sensor_id)
   ON id = sensor_id""", ["meas"])
 
+cte("drifting", """
+SELECT c_custkey AS n FROM customer JOIN nr ON c_nationkey = n_nationkey""", ["nr"])
+
 cte("coords", """
 SELECT capital_name AS city, avg(latitude) AS lat, avg(longitude) AS lon
 FROM locs GROUP BY capital_name""", ["locs"])
@@ -378,6 +381,48 @@ ORACLE = {
         UNION ALL SELECT 'sensors', count(*) FROM sens
         UNION ALL SELECT 'measurements_daily', count(*) FROM meas""",
                       "countries", "locs", "sens", "meas"),
+    "load_metrics": sql("""
+        SELECT table_name, column_name, rows, nulls,
+               CAST(round(nulls / rows, 4) AS DOUBLE) AS null_share
+        FROM (SELECT 'countries' AS table_name, 'alpha_2' AS column_name, count(*) AS rows,
+                     count(*) - count(alpha_2) AS nulls FROM countries
+              UNION ALL SELECT 'countries', 'capital_lat', count(*),
+                     count(*) - count(capital_lat) FROM countries
+              UNION ALL SELECT 'locations', 'location_id', count(*),
+                     count(*) - count(location_id) FROM locs
+              UNION ALL SELECT 'locations', 'capital_cca2', count(*),
+                     count(*) - count(capital_cca2) FROM locs
+              UNION ALL SELECT 'sensors', 'sensor_id', count(*),
+                     count(*) - count(sensor_id) FROM sens
+              UNION ALL SELECT 'measurements_daily', 'sensor_id', count(*),
+                     count(*) - count(sensor_id) FROM meas
+              UNION ALL SELECT 'measurements_daily', 'value_avg', count(*),
+                     count(*) - count(value_avg) FROM meas)""",
+                        "countries", "locs", "sens", "meas"),
+    "models_by_name": sql("""
+        SELECT 'analytics.stg_air_quality' AS name, count(*) AS rows FROM stg
+        UNION ALL SELECT 'analytics.city_daily_avg', count(*) FROM cda
+        UNION ALL SELECT 'analytics.city_pollution_ranking', count(*) FROM ranking
+        UNION ALL SELECT 'analytics.kpi_summary', count(*) FROM kpi
+        UNION ALL SELECT 'analytics.who_pm25_alerts', count(*) FROM alerts
+        UNION ALL SELECT 'raw.measurements_daily', count(*) FROM meas
+        UNION ALL SELECT 'raw.locations', count(*) FROM locs
+        UNION ALL SELECT 'raw.sensors', count(*) FROM sens
+        UNION ALL SELECT 'raw.countries', count(*) FROM countries""",
+                          "stg", "cda", "ranking", "kpi", "alerts", "meas", "locs", "sens",
+                          "countries"),
+    "payload_drift": sql("""
+        SELECT * FROM (
+          SELECT 'elevation' AS path, 'INTEGER' AS found, count(*) AS records,
+                 CAST(NULL AS VARCHAR) AS expected, 'added' AS status
+          FROM drifting WHERE n % 50 = 0 AND n % 70 <> 0
+          UNION ALL SELECT 'sensors[].parameter.unitsCode', 'INTEGER',
+                 CAST(coalesce(sum(n % 4), 0) AS BIGINT), NULL, 'added'
+          FROM drifting WHERE n % 30 = 0 AND n % 70 <> 0
+          UNION ALL SELECT 'provider.id', 'STRING', count(*), 'INTEGER', 'retyped'
+          FROM drifting WHERE n % 40 = 0 AND n % 70 <> 0
+          UNION ALL SELECT '', 'MALFORMED', count(*), 'OBJECT', 'malformed'
+          FROM drifting WHERE n % 70 = 0) WHERE records > 0""", "drifting"),
     "window_days": sql(f"""
         SELECT sensor_id, date_utc, {R('value_avg')} FROM meas
         WHERE date_utc >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 7 DAY""", "meas"),

@@ -98,11 +98,18 @@ def read_snapshot(spark: SparkSession, base: str, schema: StructType,
     return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/v={v}")
 
 
-def write_snapshot(df: DataFrame, base: str, version: int) -> None:
+def _plainly(df: DataFrame, write) -> None:
+    write(df)
+
+
+def write_snapshot(df: DataFrame, base: str, version: int, through=_plainly) -> None:
     """Write snapshot ``version`` then its commit marker. Re-running the same
-    version overwrites both, so a retried batch is idempotent."""
+    version overwrites both, so a retried batch is idempotent.
+
+    ``through(df, write)`` runs the data write; ``loads.Watch`` gives ones that
+    count what the write job writes."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/v={version}")
+    through(df, lambda d: d.write.mode("overwrite").parquet(f"{base.rstrip('/')}/v={version}"))
     (spark.createDataFrame([(int(version),)], "version long")
           .select("version", F.current_timestamp().alias("committed_at"))
           .write.mode("overwrite").parquet(f"{_commit_dir(base)}/v={version}"))
@@ -113,7 +120,7 @@ MAX_LISTED_PARTITIONS = 10_000
 
 
 def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: str,
-                      partition_expr, ts: str = "ingested_at") -> list:
+                      partition_expr, ts: str = "ingested_at", through=_plainly) -> list:
     """Upsert ``batch`` into a Parquet table partitioned by ``partition_col``,
     rewriting only the partitions the batch touches.
 
@@ -126,6 +133,9 @@ def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: st
     table, so a retry after a failure is safe. It is not one commit: until it
     ends, a reader can see some partitions of the batch and not others.
 
+    ``through(df, write)`` runs the write of the touched partitions (see
+    ``write_snapshot``).
+
     Returns the touched partition values (a short list: one value per month
     present in the batch).
     """
@@ -149,9 +159,10 @@ def upsert_partitions(batch: DataFrame, table_path: str, keys, partition_col: st
     # Staging is only needed when the merge reads the table it overwrites.
     staged = merged if existing is None else materialize(
         merged, "upsert_stage", partition_by=(partition_col,))
-    (clustered(staged, (partition_col,)).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(table_path))
+    through(staged, lambda d: (
+        clustered(d, (partition_col,)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col).parquet(table_path)))
     return touched
 
 

@@ -294,6 +294,23 @@ def land_station_pages(spark: SparkSession, sf_dir: str, pairs: DataFrame, path:
     landed.unionByName(failed).write.partitionBy("capital_cca2").text(path)
 
 
+def drifting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station objects as JSON lines of a source that has changed: ``elevation``
+    was added for every 50th station, a sensor's ``unitsCode`` for every 30th,
+    the provider's id became text for every 40th, and every 70th line is cut
+    off after its name."""
+    objects = location_payloads(spark, sf_dir, False)
+    n = F.col("id")
+    text = F.to_json(F.struct(*[F.col(c) for c in objects.columns], F.when(
+        n % 50 == 0, n % 1000).alias("elevation")))
+    text = F.when(n % 40 == 0, F.regexp_replace(
+        text, r'"provider":\{"id":(\d+)', r'"provider":{"id":"$1"')).otherwise(text)
+    text = F.when(n % 30 == 0, F.replace(
+        text, F.lit('"displayName"'), F.lit('"unitsCode":1,"displayName"'))).otherwise(text)
+    return objects.select(F.when(n % 70 == 0, F.substring_index(
+        text, ',"locality"', 1)).otherwise(text).alias("value"))
+
+
 PAGE_ROWS = 8  # readings a page of the stand-in day search
 
 
