@@ -31,3 +31,14 @@ def test_entry_module_contract():
     own = {k for k in q if k != "pipeline" and not k.startswith("op")}
     assert len(own) >= 58 and own <= set(o) and set(o) <= set(q)
     assert all(isinstance(s, str) and s.strip() for s in o.values())
+
+
+def test_other_queries_survive_a_package_that_the_subpackage_misses():
+    """Any ImportError below the optional subpackage leaves the rest registered."""
+    code = ("import sys; sys.modules['xxhash'] = None; sys.path.insert(0, %r)\n"
+            "import __spark_entry__ as E\n"
+            "names = set(E.queries()); assert 'kpi_summary' in names, names\n"
+            "assert set(E.oracle_sql()) <= names\n"
+            "assert not [n for n in names if n.startswith('op') or n == 'pipeline'], names" % ROOT)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
