@@ -16,10 +16,12 @@ from pyspark.sql.types import StringType
 
 from cityair import schemas
 from cityair.operators import geo, ledger, merge
-from cityair.plans import incremental
+from cityair.plans import incremental, marts
 from cityair.plans.models import Models, build_models
-from cityair.sources import loads, namespaces, payloads, seeds, sinks
+from cityair.sources import colocated, loads, namespaces, payloads, seeds, sinks
 
+BUCKETED_FACT = "raw.measurements_bucketed"
+BUCKETED_PLACES = "raw.sensor_places"
 # Columns of the fact whose NULLs a load counts.
 FACT_WATCHED = ("sensor_id", "date_utc", "value_avg", "percent_complete")
 
@@ -38,7 +40,8 @@ class RawPaths:
 def ingest(spark: SparkSession, countries_path, locations_path, days_path, raw_base: str,
            run_ts, as_of, capital_codes=None, capital_limit: int = 0,
            same_country: bool = False, window_days: int | None = None,
-           max_per_capital: int | None = None) -> dict[str, DataFrame]:
+           max_per_capital: int | None = None, buckets: int | None = None
+           ) -> dict[str, DataFrame]:
     """Load one run of landed files into the raw tables under ``raw_base``.
 
     Dimension tables are versioned snapshots (small); the fact table is
@@ -47,6 +50,10 @@ def ingest(spark: SparkSession, countries_path, locations_path, days_path, raw_b
     and the rest of the run goes on. What the write jobs counted is logged
     (``load_log``), so a load is verified without reading it again. Returns
     the current raw tables.
+
+    With ``buckets`` the fact, and the sensors' cities beside it, are bucketed
+    by sensor and named in the catalog (``sources.colocated``): for sensors
+    beyond the broadcast bound. Keep the number over all runs of a table.
     """
     raw = RawPaths(raw_base)
     quarantine = raw.path("_quarantine")
@@ -69,9 +76,15 @@ def ingest(spark: SparkSession, countries_path, locations_path, days_path, raw_b
                             ["location_id"]),
                            ("sensors", tagged_sensors, ["sensor_id"])):
         _upsert_snapshot(df, raw.path(name), keys, watch(name, keys))
-    sinks.upsert_partitions(days, raw.path("measurements"), ["sensor_id", "date_utc"], "month",
-                            merge.month_of("date_utc"),
-                            through=watch("measurements", FACT_WATCHED))
+    through = watch("measurements", FACT_WATCHED)
+    if buckets:
+        declare_colocated(spark, raw_base, buckets)
+        colocated.upsert_fact(days, BUCKETED_FACT, buckets, through)
+        dims = read_dimensions(spark, raw_base)
+        colocated.replace_places(dims["sensors"], dims["locations"], BUCKETED_PLACES, buckets)
+    else:
+        sinks.upsert_partitions(days, raw.path("measurements"), ["sensor_id", "date_utc"],
+                                "month", merge.month_of("date_utc"), through=through)
     loads.log(spark, raw.path("_loads"), run_ts, watch.figures)
     return read_raw(spark, raw_base)
 
@@ -90,12 +103,35 @@ def _upsert_snapshot(df: DataFrame, base: str, keys, through) -> None:
     sinks.write_snapshot(merged, base, 0 if current is None else current + 1, through)
 
 
+def declare_colocated(spark: SparkSession, raw_base: str, buckets: int) -> None:
+    """Name the bucketed fact and places under ``raw_base`` in the catalog (also
+    for a session that only builds)."""
+    raw = RawPaths(raw_base)
+    namespaces.create(spark, raw.path("_schemas"))
+    colocated.declare(spark, BUCKETED_FACT, colocated.FACT, raw.path("measurements"), buckets,
+                      ("month",))
+    colocated.declare(spark, BUCKETED_PLACES, colocated.PLACES, raw.path("sensor_places"), buckets)
+
+
+def build_colocated(spark: SparkSession, table_path: str) -> None:
+    """The city-day table from the bucketed tables: the fact is joined where it
+    lies; only its city-day sums are exchanged."""
+    stg = colocated.staged(spark, BUCKETED_FACT, BUCKETED_PLACES, seeds.molecular_weights(spark))
+    sinks.write_table(incremental.with_month(marts.city_daily_avg(stg)), table_path,
+                      incremental.PARTITIONS)
+
+
+def read_dimensions(spark: SparkSession, raw_base: str) -> dict[str, DataFrame]:
+    raw = RawPaths(raw_base)
+    return {name: sinks.read_snapshot(spark, raw.path(name), schema)
+            for name, schema in (("countries", schemas.COUNTRIES),
+                                 ("locations", schemas.LOCATIONS),
+                                 ("sensors", schemas.SENSORS))}
+
+
 def read_raw(spark: SparkSession, raw_base: str) -> dict[str, DataFrame]:
     raw = RawPaths(raw_base)
-    out = {name: sinks.read_snapshot(spark, raw.path(name), schema)
-           for name, schema in (("countries", schemas.COUNTRIES),
-                                ("locations", schemas.LOCATIONS),
-                                ("sensors", schemas.SENSORS))}
+    out = read_dimensions(spark, raw_base)
     fact_schema = schemas.with_fields(schemas.MEASUREMENTS_DAILY, ("month", StringType()))
     out["measurements"] = spark.read.schema(fact_schema).parquet(raw.path("measurements"))
     return out

@@ -38,8 +38,11 @@ def sensor_cities(sensors: DataFrame, locations: DataFrame, extra_location_cols=
 
 
 def joined_readings(measurements: DataFrame, sensors: DataFrame, locations: DataFrame,
-                    weights: DataFrame, extra_location_cols=()) -> DataFrame:
-    """Non-NULL readings joined to sensor, station and molecular weight."""
+                    weights: DataFrame, extra_location_cols=(),
+                    dim: DataFrame | None = None) -> DataFrame:
+    """Non-NULL readings joined to sensor, station and molecular weight. ``dim``
+    is the joined dimension where it is a table of its own (co-located with the
+    fact by bucket); it is joined as it lies."""
     m = measurements.where(F.col("value_avg").isNotNull()).select(
         "sensor_id", "date_utc", "value_avg", "value_max",
         F.lower("parameter_name").alias("parameter"),
@@ -48,8 +51,9 @@ def joined_readings(measurements: DataFrame, sensors: DataFrame, locations: Data
     # Without column statistics Spark estimates a join of two tables as the
     # product of their sizes, so the pre-joined dimension would plan as a
     # shuffle join of the whole fact; a bounded count decides instead.
-    dim = broadcast_if_bounded(sensor_cities(sensors, locations, extra_location_cols),
-                               MAX_BROADCAST_SENSORS)
+    if dim is None:
+        dim = broadcast_if_bounded(sensor_cities(sensors, locations, extra_location_cols),
+                                   MAX_BROADCAST_SENSORS)
     # The seed has six rows: a fixed size, so it is always broadcast.
     mw = F.broadcast(weights.select("parameter", "molecular_weight_g_per_mol"))
     return m.join(dim, "sensor_id", "inner").join(mw, "parameter", "left")
@@ -66,7 +70,7 @@ def clean_conditions(value: str = "value_avg") -> F.Column:
 
 def stg_air_quality(measurements: DataFrame, sensors: DataFrame, locations: DataFrame,
                     weights: DataFrame, over_range: str = "drop",
-                    keep=()) -> DataFrame:
+                    keep=(), dim: DataFrame | None = None) -> DataFrame:
     """The staging model.
 
     ``over_range='clip'`` keeps readings at or above the over-range ceiling
@@ -75,7 +79,7 @@ def stg_air_quality(measurements: DataFrame, sensors: DataFrame, locations: Data
     joined rows to carry (e.g. ``location_id`` for station counts).
     """
     extra_loc = [c for c in keep if c not in ("location_id", "sensor_id")]
-    j = joined_readings(measurements, sensors, locations, weights, extra_loc)
+    j = joined_readings(measurements, sensors, locations, weights, extra_loc, dim)
     if over_range == "clip":
         j = j.withColumn("value_avg", F.least(F.col("value_avg"), F.lit(K.OVER_RANGE)))
         v = F.col("value_avg")

@@ -4,6 +4,7 @@ import contextlib
 import io
 import os
 
+from pyspark.sql import functions as F
 
 from cityair import schemas
 from cityair.catalog import QUERIES, world
@@ -148,3 +149,47 @@ def test_bucketed_fact_and_dimension_join_without_exchange(spark, scratch):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
         spark.sql("DROP TABLE IF EXISTS bkt_fact")
         spark.sql("DROP TABLE IF EXISTS bkt_dim")
+
+
+def test_flow_joins_a_bucketed_fact_where_it_lies(spark, scratch):
+    """From the landed files to staging and the city-day table without an
+    exchange of the fact; two loads equal the plain flow."""
+    from cityair import flow
+    from cityair.plans import incremental, staging
+    from cityair.sources import colocated, seeds, standins as S
+    ts = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    land = scratch + "/land"
+    S.country_payloads(spark, SF0001).write.json(land + "/countries")
+    S.location_payloads(spark, SF0001, False).write.json(land + "/locations")
+    env = S.day_envelopes(spark, SF0001)
+    cut = F.lit(S.SPLIT_TS).cast("timestamp")
+    env.where(F.col("ingested_at") < cut).write.options(**ts).json(land + "/a")
+    env.where(F.col("ingested_at") >= cut).write.options(**ts).json(land + "/b")
+    for days in ("/a", "/b"):
+        args = (spark, land + "/countries", land + "/locations", land + days)
+        flow.ingest(*args, scratch + "/raw", S.RUN_TS, S.AS_OF, buckets=4)
+        plain = flow.ingest(*args, scratch + "/plain", S.RUN_TS, S.AS_OF)
+    flow.declare_colocated(spark, scratch + "/raw", 4)  # as a session that only builds
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        stg = colocated.staged(spark, flow.BUCKETED_FACT, flow.BUCKETED_PLACES,
+                               seeds.molecular_weights(spark))
+        plan = stg._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert "Exchange hashpartitioning" not in plan
+        flow.build_colocated(spark, scratch + "/city_daily")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    weights = seeds.molecular_weights(spark)
+    want = staging.stg_air_quality(plain["measurements"], plain["sensors"], plain["locations"],
+                                   weights)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(stg) == rows(want) and stg.count() > 0
+    flow.build_incremental(spark, plain, scratch + "/plain_daily")
+    daily = [incremental.read(spark, scratch + p).withColumn("avg_value", F.round("avg_value", 9))
+             for p in ("/city_daily", "/plain_daily")]
+    assert rows(daily[0]) == rows(daily[1])
+    log = flow.load_log(spark, scratch + "/raw").where("table_name = 'measurements'")
+    assert log.agg(F.max("rows")).first()[0] == plain["measurements"].count()

