@@ -22,10 +22,15 @@ bucket in a fixed random order (aggregates, so a bucket that holds a third
 of all rows is combined map-side; no pairs within a bucket); (4) every
 candidate pair is verified by exact weighted Jaccard similarity, a leader's
 members being dealt to groups of bounded size; (5) members of a bucket whom
-its leaders leave in different classes are compared with each other, all of
-them, in pairs of blocks (a bucket's most frequent class only with the other
-members), so every pair that shares a band is verified or already in one
-class; (6) connected components of verified pairs by minimum labels.
+its leaders leave in different classes are compared with each other, in pairs
+of blocks (a bucket's most frequent class only with the other members), so
+every pair that shares a band is verified or already in one class. Only those
+are compared that can have a partner: two sets of similarity t or more share a
+shingle among the rarest ones that hold more than 1 - t of either's weight, so
+a member stays out that shares none of its rarest shingles with any member of
+another class; (6) connected components of verified pairs by minimum labels,
+over links that span: a member is linked to one of its leaders and these to
+each other, and a pair of blocks yields a link for each merge of classes.
 
 Defined results: texts without a word (null, empty, white space) are never
 duplicates; fewer than five words make one shingle of all words; repeated
@@ -281,12 +286,15 @@ def _verify(packed, df_answers, pairs, text, n_docs, damping, similarity) -> Dat
     dealt = pairs.join(members, "leader").select(
         "ref", "leader", F.pmod(F.xxhash64("ref", F.lit(7)), F.greatest(
             F.lit(1), F.ceil(F.col("n") / GROUP))).alias("salt"))
-    asks = dealt.select("ref", "leader", "salt").unionByName(
-        dealt.select(F.col("leader").alias("ref"), "leader", "salt").distinct())
-    asks = asks.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref", "leader", "salt")
+    # A leader is sent once and copied to its groups after the exchange.
+    asks = dealt.select("ref", "leader", F.col("salt").alias("lo"), F.col("salt").alias(
+        "hi")).unionByName(members.select(
+            F.col("leader").alias("ref"), "leader", F.lit(0).cast("long").alias("lo"),
+            (F.greatest(F.lit(1), F.ceil(F.col("n") / GROUP)) - 1).alias("hi")))
+    asks = asks.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref", "leader", "lo", "hi")
     more = df_answers.unionByName(asks, allowMissingColumns=True)
-    blob = pa.schema([("leader", pa.int64()), ("salt", pa.int64()), ("ref", pa.int64()),
-                      ("keys", pa.binary()), ("weights", pa.binary())])
+    blob = pa.schema([("leader", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()),
+                      ("ref", pa.int64()), ("keys", pa.binary()), ("weights", pa.binary())])
 
     def send(own: pa.Table, asked: pa.Table) -> pa.Table:
         wanted = asked.filter(pa.compute.is_valid(asked["ref"]))
@@ -297,13 +305,14 @@ def _verify(packed, df_answers, pairs, text, n_docs, damping, similarity) -> Dat
         d, k, tf = _distinct(*shingles(texts)[:2])
         w = _weights(k, tf, asked.filter(pa.compute.is_valid(asked["totals"])), n_docs, damping)
         cut = np.searchsorted(d, np.arange(len(texts) + 1))
-        return pa.table([wanted["leader"], wanted["salt"], wanted["ref"],
+        return pa.table([wanted["leader"], wanted["lo"], wanted["hi"], wanted["ref"],
                          pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary()),
                          pa.array([w[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary())],
                         schema=blob)
 
     sent = packed.groupBy("chunk").cogroup(more.groupBy("chunk")).applyInArrow(
-        send, "leader long, salt long, ref long, keys binary, weights binary")
+        send, "leader long, lo long, hi long, ref long, keys binary, weights binary").select(
+        "leader", F.explode(F.sequence("lo", "hi")).alias("salt"), "ref", "keys", "weights")
     link = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
 
     def compare(group: pa.Table) -> pa.Table:
@@ -315,8 +324,17 @@ def _verify(packed, df_answers, pairs, text, n_docs, damping, similarity) -> Dat
         kept = [x for x in scored if x[2] >= similarity - 1e-12]
         return pa.table([list(c) for c in zip(*kept)], schema=link) if kept else link.empty_table()
 
-    return landed(sent.groupBy("leader", "salt").applyInArrow(
-        compare, "a long, b long, similarity double"), "neardup-links")
+    return landed(spanning(sent.groupBy("leader", "salt").applyInArrow(
+        compare, "a long, b long, similarity double")), "neardup-links")
+
+
+def spanning(links: DataFrame) -> DataFrame:
+    """Links (a, b) with the same connected components as the given ones: each
+    ``a`` with its smallest ``b``, and that one with the other ``b`` of ``a``,
+    which many ``a`` have in common. A member's leaders are few (two a band)."""
+    low = links.groupBy("a").agg(F.min("b").alias("low"))
+    hubs = links.join(low, "a").where("b <> low").select(F.col("low").alias("a"), "b").distinct()
+    return low.select("a", F.col("low").alias("b")).unionByName(hubs)
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -343,6 +361,48 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return labels
 
 
+def rare_prefix(keys, weights, df, similarity: float) -> np.ndarray:
+    """Places of the rarest shingles (ties by key) that hold more than
+    ``1 - similarity`` of a set's weight. Of two sets that reach the similarity,
+    what they share weighs at least ``similarity`` of either's weight; without a
+    common shingle in the prefixes, all of it would lie behind the prefix that
+    ends first, where less is left of that set."""
+    order = np.lexsort((keys, df))
+    left = weights.sum() - np.cumsum(weights[order])
+    enough = left < (similarity - 1e-9) * weights.sum()
+    return order[:int(np.argmax(enough)) + 1]
+
+
+def _prefixes(packed, df_answers, refs, text, n_docs, damping, similarity) -> DataFrame:
+    """(ref, shingle): the rarest shingles of the rows ``refs``, but for those
+    that no other document holds."""
+    asks = refs.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref")
+    chunks = landed(asks.select("chunk").distinct(), "neardup-left-chunks")
+    packed, df_answers = (x.join(chunks, "chunk", "left_semi") for x in (packed, df_answers))
+    more = df_answers.unionByName(asks, allowMissingColumns=True)
+    out = pa.schema([("ref", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def send(own: pa.Table, asked: pa.Table) -> pa.Table:
+        wanted = asked.filter(pa.compute.is_valid(asked["ref"]))
+        if own.num_rows == 0 or wanted.num_rows == 0:
+            return out.empty_table()
+        index = wanted["ref"].to_numpy() & ((1 << REF_BITS) - 1)
+        texts = text_bytes(unpack(own.column("rows")[0]).column(text))
+        d, k, tf = _distinct(*shingles(texts)[:2])
+        answer = asked.filter(pa.compute.is_valid(asked["totals"]))
+        df, w = look_up(k, answer)[0], _weights(k, tf, answer, n_docs, damping)
+        cut = np.searchsorted(d, np.arange(len(texts) + 1))
+        rare = []
+        for a, b in zip(cut[index], cut[index + 1]):
+            at = a + rare_prefix(k[a:b], w[a:b], df[a:b], similarity)
+            rare.append(k[at[df[at] > 1]].view(np.int64))
+        return pa.table([wanted["ref"], pa.array(rare, pa.list_(pa.int64()))], schema=out)
+
+    return packed.groupBy("chunk").cogroup(more.groupBy("chunk")).applyInArrow(
+        send, "ref long, shingles array<long>").select(
+        "ref", F.explode("shingles").alias("shingle"))
+
+
 def _sets(packed, df_answers, refs, text, n_docs, damping) -> DataFrame:
     """(ref, keys, weights): the weighted shingles of the rows ``refs``."""
     asks = refs.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref")
@@ -370,10 +430,8 @@ def _sets(packed, df_answers, refs, text, n_docs, damping) -> DataFrame:
 
 
 def _left_over(reps: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every bucket's members other than its leaders, where they are not all
-    in one class by ``labels`` yet: a member's class so far (label), whether it
-    is the bucket's most frequent one, and how many blocks that class and the
-    other members make."""
+    """(band, key, ref, label): every bucket's members other than its leaders,
+    where they are not all in one class by ``labels`` yet."""
     order = F.struct(F.xxhash64("ref"), F.col("ref"))
     placed = reps.select("ref", F.posexplode("bands").alias("band", "key"))
     buckets = placed.groupBy("band", "key").agg(
@@ -385,6 +443,27 @@ def _left_over(reps: DataFrame, labels: DataFrame) -> DataFrame:
     label_of = labels.select(F.col("v").alias("ref"), "label")
     rest = landed(rest.join(label_of, "ref", "left").select(
         "band", "key", "ref", F.coalesce("label", "ref").alias("label")), "neardup-rest")
+    mixed = rest.groupBy("band", "key").agg(F.min("label").alias("a"), F.max("label").alias(
+        "b")).where("a <> b").select("band", "key")
+    return landed(rest.join(mixed, ["band", "key"]), "neardup-left-over")
+
+
+def _with_partners(rest, packed, df_answers, text, n_docs, damping, similarity) -> DataFrame:
+    """The rows of ``rest`` (``_left_over``) whose member shares one of its
+    rarest shingles with a member of another class, in buckets that still hold
+    more than one class."""
+    of = landed(rest.select("ref", "label").distinct(), "neardup-left-refs")
+    rare = landed(_prefixes(packed, df_answers, of.select("ref"), text, n_docs, damping,
+                            similarity).join(of, "ref"), "neardup-prefixes")
+    shared = rare.groupBy("shingle").agg(F.min("label").alias("a"), F.max("label").alias(
+        "b")).where("a <> b").select("shingle")
+    paired = landed(rare.join(shared, "shingle").select("ref").distinct(), "neardup-partners")
+    return landed(rest.join(paired, "ref"), "neardup-paired")
+
+
+def _blocks(rest: DataFrame) -> DataFrame:
+    """``rest`` with, a row: whether its class is its bucket's most frequent one,
+    and how many blocks that class and the other members make."""
     sizes = rest.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
     mixed = landed(sizes.groupBy("band", "key").agg(
         F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top"),
@@ -403,10 +482,14 @@ def _verify_left_over(packed, df_answers, reps, labels, text, n_docs, damping, s
 
     A bucket's most frequent class needs no pairs of its own; its members meet
     the other members only. A pair is compared in the first band it shares."""
-    rest = landed(_left_over(reps, labels), "neardup-left-over")
+    rest = _left_over(reps, labels)
+    if rest.limit(1).count() == 0:
+        return None
+    rest = landed(_blocks(_with_partners(rest, packed, df_answers, text, n_docs, damping,
+                                         similarity)), "neardup-dealt")
     if rest.limit(1).count() == 0:
         return None
-    refs = landed(rest.select("ref").distinct(), "neardup-left-refs")
+    refs = landed(rest.select("ref").distinct(), "neardup-compared")
     sets = _sets(packed, df_answers, refs, text, n_docs, damping).join(
         reps.select("ref", "bands"), "ref")
     # Blocks: minor ones are numbered from 0, the most frequent class's follow.
@@ -437,9 +520,16 @@ def _verify_left_over(packed, df_answers, reps, labels, text, n_docs, damping, s
 
 
 def similar_pairs(refs, labels, bands, band, left, within, keys, weights, similarity):
-    """(a, b, similarity) of the pairs of a left and another member (or of two
-    left ones, ``within`` a block) with different labels that share no band
-    before ``band`` and reach ``similarity``."""
+    """(a, b, similarity) of pairs of a left and another member (or of two left
+    ones, ``within`` a block) that share no band before ``band`` and reach
+    ``similarity``: one for each merge of their classes ``labels``, so that all
+    similar pairs of the group are in one class by them."""
+    above: dict[int, int] = {}  # merged class -> the class it went to
+
+    def now(label: int) -> int:
+        while label in above:
+            label = above[label]
+        return label
     right = np.flatnonzero(left if within else ~left)
     if not len(right):
         return
@@ -460,7 +550,10 @@ def similar_pairs(refs, labels, bands, band, left, within, keys, weights, simila
         both = np.bincount(own, np.minimum(weight, mine[at]), len(right))
         alike = both / (totals + weights[i].sum() - both)
         for j in np.flatnonzero(asked & (alike >= similarity - 1e-12)):
-            yield int(refs[right[j]]), int(refs[i]), float(alike[j])
+            one, two = now(int(labels[i])), now(int(labels[right[j]]))
+            if one != two:
+                above[max(one, two)] = min(one, two)
+                yield int(refs[right[j]]), int(refs[i]), float(alike[j])
 
 
 def _labels(docs: DataFrame, text: str, similarity: float, bands: int, rows: int, damping: float):
@@ -487,7 +580,7 @@ def _labels(docs: DataFrame, text: str, similarity: float, bands: int, rows: int
     more = _verify_left_over(packed, counted, reps, labels, text, n_docs, damping, similarity)
     discard(counted, pairs)
     if more is not None:
-        labels = components(links.unionByName(more), "neardup-components")
+        labels = components(links.unionByName(more.select("a", "b")), "neardup-components")
     # A class of near copies takes its members' exact copies along.
     label_of = labels.select(F.col("v").alias("rep"), "label")
     alone = copied.join(label_of, "rep", "left").select("ref", F.coalesce("label", "rep").alias(

@@ -248,7 +248,7 @@ def test_near_duplicates_in_a_template_family_match_brute_force(spark):
         [r[0] for r in rows], want)
 
 
-def test_similar_pairs_are_the_pairs_of_brute_force():
+def test_similar_pairs_span_the_pairs_of_brute_force(spark):
     rng = np.random.default_rng(9)
     n = 40
     keys = [np.unique(rng.integers(0, 30, rng.integers(1, 40)).astype(np.uint64)) for _ in range(n)]
@@ -257,15 +257,82 @@ def test_similar_pairs_are_the_pairs_of_brute_force():
     bands = rng.integers(0, 4, (n, 3))
     left = np.arange(n) < 25
     for within in (False, True):
-        want = set()
+        want, classes = set(), list(labels)
         for i in range(n):
             for j in range(n):
                 if (left[i] and (j > i and left[j] if within else not left[j])
                         and labels[i] != labels[j] and not (bands[i, :2] == bands[j, :2]).any()
                         and near_dup.jaccard((keys[i], weights[i]), (keys[j], weights[j])) >= 0.4):
                     want.add((100 + j, 100 + i))
+                    old, new = classes[i], classes[j]
+                    classes = [new if c == old else c for c in classes]
         got = list(near_dup.similar_pairs(refs, labels, bands, 2, left, within, keys, weights, 0.4))
-        assert {g[:2] for g in got} == want and len(got) == len(want) > 0
+        assert {g[:2] for g in got} <= want and got
+        assert len(got) == len(set(labels)) - len(set(classes))  # one a merge
+        merged = list(labels)
+        for a, b, _ in got:
+            old, new = merged[a - 100], merged[b - 100]
+            merged = [new if c == old else c for c in merged]
+        assert partition(range(n), merged) == partition(range(n), classes)
+
+
+def test_alike_members_of_one_block_need_a_link_a_merge():
+    n, keys = 64, np.arange(50, dtype=np.uint64)
+    got = list(near_dup.similar_pairs(
+        np.arange(n), np.arange(n), np.zeros((n, 1), np.int64), 0, np.ones(n, bool), True,
+        [keys] * n, [np.ones(50)] * n, 0.8))
+    assert len(got) == n - 1
+
+
+def test_alike_sets_share_a_rare_shingle():
+    rng = np.random.default_rng(9)
+    df = rng.integers(1, 60, 400)
+    met = apart = 0
+    for _ in range(2000):
+        t = rng.choice([0.5, 0.8, 0.9])
+        core = rng.choice(400, rng.integers(1, 120), replace=False)
+        heavy = rng.choice([1.0, 1.0, 1.0, 9.0], 400) * rng.uniform(1, 1.1, 400)
+        sets = []
+        for _ in range(2):
+            own = np.unique(np.r_[core, rng.choice(400, rng.integers(0, 30))])
+            sets.append((own.astype(np.uint64), heavy[own] * rng.choice(
+                [1.0, 1.0, 1.0, 1.1], len(own))))
+        rare = [set(k[near_dup.rare_prefix(k, w, df[k.astype(int)], t)].tolist())
+                for k, w in sets]
+        if near_dup.jaccard(*sets) >= t:
+            met += 1
+            assert rare[0] & rare[1]
+        else:
+            apart += not (rare[0] & rare[1])
+        for (k, w), r in zip(sets, rare):
+            assert 0 < len(r) <= len(k)
+            assert w[np.isin(k, list(r))].sum() > (1 - t) * w.sum() - 1e-9
+    assert met > 300 and apart > 10
+
+
+def test_spanning_links_keep_the_components(spark):
+    rng = np.random.default_rng(3)
+    links = {(int(a), int(b)) for a, b in rng.integers(0, 120, (150, 2)) if a != b}
+    links |= {(1000 + i, 500 + i % 7) for i in range(300)} | {(999, 500 + i) for i in range(7)}
+    df = spark.createDataFrame([(*x, 0.9) for x in links], "a long, b long, similarity double")
+    span = near_dup.spanning(df)
+    label = lambda d: {r.v: r.label for r in near_dup.components(d).collect()}
+    assert label(df) == label(span)
+    assert span.count() <= len({a for a, _ in links}) + len(links) - 300
+
+
+def test_a_leader_with_very_many_members_is_sent_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "GROUP", 4)
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    base = [word() for _ in range(300)]
+    rows = []
+    for i in range(90):
+        text = list(base)
+        text[rng.randrange(300)] = word()
+        rows.append((i, " ".join(text), "en", "s"))
+    got = near_dup.classes(docs_of(spark, rows)).collect()
+    assert {r.class_size for r in got} == {90} and sum(r.keeps for r in got) == 1
 
 
 @pytest.mark.parametrize("height", [0.4, 1.0, 1.1, 6.0])
