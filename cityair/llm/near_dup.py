@@ -324,14 +324,15 @@ def _verify(packed, df_answers, pairs, text, n_docs, damping, similarity) -> Dat
         kept = [x for x in scored if x[2] >= similarity - 1e-12]
         return pa.table([list(c) for c in zip(*kept)], schema=link) if kept else link.empty_table()
 
-    return landed(spanning(sent.groupBy("leader", "salt").applyInArrow(
-        compare, "a long, b long, similarity double")), "neardup-links")
+    return landed(spanning(landed(sent.groupBy("leader", "salt").applyInArrow(
+        compare, "a long, b long, similarity double"), "neardup-verified")), "neardup-links")
 
 
 def spanning(links: DataFrame) -> DataFrame:
     """Links (a, b) with the same connected components as the given ones: each
     ``a`` with its smallest ``b``, and that one with the other ``b`` of ``a``,
-    which many ``a`` have in common. A member's leaders are few (two a band)."""
+    which many ``a`` have in common. A member's leaders are few (two a band).
+    ``links`` is landed: it is read twice."""
     low = links.groupBy("a").agg(F.min("b").alias("low"))
     hubs = links.join(low, "a").where("b <> low").select(F.col("low").alias("a"), "b").distinct()
     return low.select("a", F.col("low").alias("b")).unionByName(hubs)
