@@ -21,7 +21,10 @@ their smallest ids, which is exact, since ties go to the smaller id.
 Defined results: vectors that are null, empty, zero or hold null, NaN or
 infinite components take no part, nor do null ids; shorter vectors are
 filled with zeros; the query's own id is never returned; repeated rows are
-candidates of their own; fewer candidates than k are all returned.
+candidates of their own; fewer candidates than k are all returned; vectors of
+tiny or huge components are indexed by their direction, their scores being the
+products as doubles have them; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,18 +95,26 @@ def _collided(edges, bits, centres, radius: float, need: int, n: int) -> np.ndar
     return np.unpackbits((above | equal).view(np.uint8), axis=1, bitorder="little")[:, :n]
 
 
-def _block(norm: float, projections: int, share: float, verify: float):
+def _unit(m: np.ndarray) -> np.ndarray:
+    """Rows at length 1, by their largest component first: no square of a tiny
+    or huge component is lost."""
+    m = m / np.abs(m).max(axis=1, keepdims=True)
+    return m / np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
+
+
+def _block(largest: float, norm: float, projections: int, share: float, verify: float):
+    """``largest``: of all components; ``norm``: of all vectors, in its units."""
     def best(ids, rows, query_ids, queries, k):
         # Equal vectors once, with their smallest ids.
         whole, inverse, n = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
         members = ids[np.lexsort((ids, inverse.ravel()))]
         at = np.r_[0, np.cumsum(n)]
-        unit = whole / norm
+        unit = whole / largest / norm
         fill = np.sqrt(np.maximum(0.0, 1 - np.einsum("ij,ij->i", unit, unit)))
         lines = _lines(rows.shape[1] + 1, projections)
         edges, bits = _index((unit @ lines[:-1] + fill[:, None] * lines[-1]).T, LEVELS)
-        length = np.sqrt(np.einsum("ij,ij->i", queries, queries))
-        centres = queries / length[:, None] @ lines[:-1]
+        ways = _unit(queries)
+        centres = ways @ lines[:-1]
         need, total = int(np.ceil(share * projections)), len(whole)
         enough = min(total, int(verify * total) + 4 * k)
         found, radius, live = [None] * len(queries), FIRST, np.arange(len(queries))
@@ -116,7 +127,7 @@ def _block(norm: float, projections: int, share: float, verify: float):
                     own = np.flatnonzero(hit)
                     near = len(own) >= enough
                     if not near and len(own) > k:  # distance of the k-th verified vector
-                        score = whole[own] @ queries[q] / (norm * length[q])
+                        score = unit[own] @ ways[q]
                         kth = np.partition(score, len(own) - k - 1)[len(own) - k - 1]
                         near = SURE * np.sqrt(max(0.0, 2 - 2 * kth)) <= radius
                     if near:
@@ -146,6 +157,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
             threshold: float = THRESHOLD, verify: float = VERIFY) -> DataFrame:
     """query_id, rank, vec_id, score for every query id divisible by ``every``."""
     own = landed(usable(vectors, id_col, vec_col, zero_ok=False), "ann-vectors")
-    norm = own.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    return search(own, every, k, _block(float(np.sqrt(norm or 1.0)), projections, threshold,
-                                        verify), "double", row_block=ROW_BLOCK)
+    largest = own.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 1.0
+    square = own.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + F.pow(
+        x / F.lit(largest), F.lit(2.0))))).first()[0]
+    return search(own, every, k, _block(largest, float(np.sqrt(square or 1.0)), projections,
+                                        threshold, verify), "double", row_block=ROW_BLOCK)

@@ -66,6 +66,25 @@ def test_exact_top_k_over_many_blocks(spark):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_nearest_ends_on_tiny_and_huge_components(spark):
+    """Squares that underflow or overflow: reproduced as an endless loop before."""
+    rng = np.random.default_rng(12)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** e).tolist()) for e, ids in (
+        (0, range(1, 60)), (-170, range(60, 80)), (150, range(80, 100))) for i in ids]
+    rows += [(100, [1e-200] + [0.0] * 5), (110, [5e-324] * 6), (120, [1e200] + [0.0] * 5)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(docs, every=10, k=5).collect()
+    want = {}
+    own = {i: np.array(v) for i, v in rows}
+    for q in (i for i in own if i % 10 == 0):
+        scored = sorted((-float(own[q] @ v), i) for i, v in own.items() if i != q)
+        want[q] = [s for s, _ in scored[:5]]
+    assert len(got) == 5 * len(want)
+    for r in got:
+        assert r.score == pytest.approx(-want[r.query_id][r["rank"] - 1], rel=1e-9)
+        assert r.score == pytest.approx(float(own[r.query_id] @ own[r.vec_id]), rel=1e-9)
+
+
 def test_large_weights_score_exactly():
     rng = np.random.default_rng(3)
     rows = rng.normal(size=(90, 6)) * 10.0 ** rng.integers(-3, 8, (90, 1))
