@@ -184,8 +184,11 @@ def _odds_to_p(x):
     return 1 / (1 + F.exp(-x))
 
 
+NO_SITE = "\u0000null"  # null hosts and paths are a site of their own
+
+
 def _site(column):
-    return F.coalesce(F.col(column).cast("string"), F.lit("\u0000null"))
+    return F.coalesce(F.col(column).cast("string"), F.lit(NO_SITE))
 
 
 def _posterior():
@@ -213,7 +216,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                           "evidence double"), "quality-scored")
     return scored.join(site_posteriors(scored), ["host", "path"]).withColumn(
         "quality", _posterior()).select(
-        "doc_id", "host", "path", "evidence", "host_posterior", "path_posterior", "quality",
+        "doc_id", *(F.nullif(F.col(c), F.lit(NO_SITE)).alias(c) for c in ("host", "path")),
+        "evidence", "host_posterior", "path_posterior", "quality",
         (F.col("quality") >= reject).alias("keep"))
 
 
