@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import time
+from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +53,31 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024):
+    """Jobs started within send at most ``rows`` rows a batch to Python, which
+    bounds a batch of long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def trim() -> None:
+    """In a task: give memory that is free back to the system. Python workers
+    live on from stage to stage and otherwise keep what a stage's largest chunk
+    took, beside what the next stage takes."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def once(key, build):
     """``build()``, made once a process. Functions travel to tasks by value, with
     the module globals they use: a table kept in such a global would travel with
@@ -87,4 +115,4 @@ def unit(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 __all__ = ["F", "WORD", "U64", "table", "landed", "discard", "reclaim", "once",
-           "shuffle_partitions", "unused", "mix64", "unit"]
+           "small_batches", "trim", "shuffle_partitions", "unused", "mix64", "unit"]

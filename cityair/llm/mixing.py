@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityair.llm.chunks import REF_BITS, pack_rows, text_bytes, unpack
-from cityair.llm.common import WORD, landed, mix64, shuffle_partitions
+from cityair.llm.common import WORD, landed, mix64, shuffle_partitions, trim
 
 BLOCK = 256
 SHARD = 1024
@@ -257,6 +257,7 @@ def mix_texts(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int
     packed = pack_rows(docs, "mix-texts", text_col)
 
     def count(batches):
+        trim()
         names = ["ref", "key", "source", "size"]
         for batch in batches:
             for i in range(batch.num_rows):
@@ -279,6 +280,7 @@ def mix_texts(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int
     target = docs.schema
 
     def cut(own: pa.Table, taken: pa.Table) -> pa.Table:
+        trim()
         rows = unpack(own.column("rows")[0])
         if not taken.num_rows:
             return rows.slice(0, 0)

@@ -37,13 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityair.llm.common import landed
+from cityair.llm.common import landed, once, small_batches, trim
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 800_000
+CACHE = 400_000
 SEED = 29
-_ENCODERS: dict = {}
 
 
 def vocabulary() -> str:
@@ -56,7 +55,7 @@ class Encoder:
 
     The pre-tokenizer never joins a character that is not white space with a
     space after it, so a text is the sum of its words, each with the space
-    before it; the ids of the first ``CACHE`` words met are kept. Words go
+    before it; the ids of up to ``CACHE`` words are kept. Words go
     through the same vocabulary as ranks (the file beside ``path`` with the
     ending ``.tiktoken``); texts with white space before a space or a special
     token's string go whole through the tokenizer itself.
@@ -86,16 +85,16 @@ class Encoder:
         parts = list(map(self.known.get, rest))
         if None in parts:
             new = {w: self.word(" " + w) for w, p in zip(rest, parts) if p is None}
-            if len(self.known) < CACHE:
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
+            if len(new) <= CACHE:
                 self.known.update(new)
             parts = [new[w] if p is None else p for w, p in zip(rest, parts)]
         return self.word(first) + b"".join(parts)
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return once(("encoder", path), lambda: Encoder(path))
 
 
 def cut(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -153,6 +152,7 @@ def tokenised(docs: DataFrame, path: str, id_col="doc_id", text_col="text",
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
+        trim()
         encode = encoder(path)
         for batch in batches:
             rows = []
@@ -173,9 +173,10 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
          text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset a piece."""
     spark = docs.sparkSession
-    pieces = landed(tokenised(docs, path or vocabulary(), id_col, text_col, capacity,
-                              end_id).withColumn("ref", F.monotonically_increasing_id()),
-                    "pack-pieces")
+    with small_batches(spark):
+        pieces = landed(tokenised(docs, path or vocabulary(), id_col, text_col, capacity,
+                                  end_id).withColumn("ref", F.monotonically_increasing_id()),
+                        "pack-pieces")
     counts = {int(r["length"]): int(r["count"]) for r in pieces.groupBy("length").count().collect()}
     fits = best_fit(counts, capacity)
     classes = spark.createDataFrame([(n, max(1, math.isqrt(c))) for n, c in counts.items()],
