@@ -4,7 +4,9 @@ For each pair the longest common prefix of turns (same role, same text) is
 rendered once as the prompt; what follows is rendered for the chosen and the
 rejected side, with the spans that are trained: the text and end mark of the
 assistant's turns. A turn renders as ``<|role|>``, a line feed, the text, a
-line feed. Built-in functions only; one shuffle, by pair.
+line feed. Built-in functions only; one shuffle, by pair. A running sum over
+a side's sorted turns tells where each turn begins, so work grows with the
+number of turns and characters; a pair is one result row and must fit a task.
 
 Defined results: turns are ordered by turn, then role, then text (nulls
 first); null roles and texts render empty; equal turns may be null on both
@@ -17,7 +19,7 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRAINED = "assistant"
@@ -36,19 +38,13 @@ def render(turns: Column) -> Column:
 
 
 def spans(turns: Column) -> Column:
-    """array<struct<start, length>> of the trained characters."""
-    kind = "struct<at:int,spans:array<struct<start:int,length:int>>>"
-    zero = F.expr(f"cast(named_struct('at', 0, 'spans', array()) as {kind})")
-
-    def step(acc, t):
-        head, body = F.length(_role(t)), F.length(_body(t))
-        own = F.array(F.struct((acc["at"] + head).alias("start"), body.alias("length")))
-        none = F.expr("cast(array() as array<struct<start:int,length:int>>)")
-        trained = F.coalesce(t["role"] == TRAINED, F.lit(False))
-        return F.struct((acc["at"] + head + body).alias("at"), F.concat(
-            acc["spans"], F.when(trained, own).otherwise(none)).alias("spans"))
-
-    return F.aggregate(turns, zero, step)["spans"]
+    """array<struct<start, length>> of the trained characters: the turns know
+    where they begin in their whole side (``at``), ``turns`` where the first does."""
+    begin = F.get(turns, F.lit(0))["at"]
+    trained = F.filter(turns, lambda t: F.coalesce(t["role"] == TRAINED, F.lit(False)))
+    return F.transform(trained, lambda t: F.struct(
+        (t["at"] - begin + F.length(_role(t))).cast("int").alias("start"),
+        F.length(_body(t)).alias("length")))
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -71,6 +67,13 @@ def preference_pairs(turns: DataFrame, pair: Column, chosen: Column, turn_col: s
                     F.col(text_col).alias("text"))
     own = turns.select(pair.cast("long").alias("pair_id"), chosen.alias("is_chosen"),
                        turn.alias("t")).where("pair_id is not null and is_chosen is not null")
+    # Rows are exchanged by pair once; each side's turns are sorted there, and
+    # one running sum tells where a turn begins in its rendered side.
+    before = Window.partitionBy("pair_id", "is_chosen").orderBy(
+        "t.turn", "t.role", "t.text").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length(_role(F.col("t"))) + F.length(_body(F.col("t")))
+    own = own.repartition("pair_id").select("pair_id", "is_chosen", F.col("t").withField(
+        "at", F.coalesce(F.sum(size).over(before), F.lit(0))).alias("t"))
     side = lambda flag: F.sort_array(F.collect_list(
         F.when(F.col("is_chosen") == flag, F.col("t"))))
     both = own.groupBy("pair_id").agg(side(True).alias("c"), side(False).alias("r"))

@@ -285,6 +285,16 @@ def test_pairs_match_brute_force(spark):
     assert collected(pairs_of(turns_of(spark, []))) == []
 
 
+def test_pairs_of_very_many_turns_take_linear_work(spark):
+    n = 40000
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{c if t > 5 else 0} {t % 7}")
+            for c in (0, 1) for t in range(n)]
+    found = pairs_of(turns_of(spark, rows))
+    assert collected(found) == brute_pairs(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1  # rows are exchanged by pair, once
+
+
 def test_pairs_match_sql_and_brute_force_on_the_table(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{SF0001}/conversations.parquet'")
