@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -606,3 +607,55 @@ def test_empty_tables(spark):
                 quality.judge(df, none), quality.good_rows(df, none), near_dup.classes(df),
                 near_dup.one_of_each(df)):
         assert out.collect() == []
+
+
+def plain_decode(margins, code, trust):
+    """Nearest codeword, score and ambiguity of one row of margins, in loops."""
+    total = sum(trust)
+    loss = [sum(w / total * math.log1p(math.exp(-m * c)) for m, c, w in zip(margins, word, trust))
+            for word in code]
+    best = min(range(len(loss)), key=lambda i: (loss[i], i))
+    near = [math.exp(-4 * (x - loss[best])) for x in loss]
+    return best, 1 / sum(near), sorted(loss)[1] - loss[best] < lang_id.CLOSE
+
+
+def plain_features(text, buckets=lang_id.BUCKETS):
+    b, counts = text.encode().lower(), collections.Counter()
+    for i in range(len(b)):
+        counts[b[i]] += 1
+        if i + 1 < len(b):
+            two = b[i] * 257 + b[i + 1]
+            counts[(two * 40503 >> 4) % buckets] += 1
+        if i + 2 < len(b):
+            counts[((two * 263 + b[i + 2]) * 2654435761 >> 9) % buckets] += 1
+    size = math.sqrt(sum(counts.values()))
+    return {k: math.sqrt(n) / size for k, n in counts.items()}
+
+
+@pytest.mark.parametrize("n", [2, 4, 7])
+def test_decoding_equals_loops(n):
+    rng = np.random.default_rng(n)
+    code = lang_id.codewords(n)
+    margins = rng.normal(0, 2, (200, code.shape[1]))
+    trust = rng.uniform(0.05, 1, code.shape[1])
+    best, score, close = lang_id.decode(margins, code, trust)
+    for i, row in enumerate(margins.tolist()):
+        b, s, c = plain_decode(row, code.tolist(), trust.tolist())
+        assert (best[i], bool(close[i])) == (b, c) and score[i] == pytest.approx(s)
+
+
+def test_languages_equal_loops_over_features_and_codewords(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    langs, code, w, trust = lang_id.fit(docs)
+    w = w.tolist()
+    got = {r["doc_id"]: r for r in lang_id.identify(docs).collect()}
+    short = [r for r in docs.where("length(text) between 1 and 1500").collect()
+             if any(c.isalpha() for c in r["text"])]
+    assert len(short) > 20
+    for r in short:
+        x = plain_features(r["text"])
+        margins = [sum(v * w[k][j] for k, v in x.items()) + w[-1][j] for j in range(len(trust))]
+        best, score, close = plain_decode(margins, code.tolist(), trust.tolist())
+        found = got[r["doc_id"]]
+        assert (found["lang_pred"], found["ambiguous"]) == (langs[best], close)
+        assert found["score"] == pytest.approx(score)
