@@ -2,6 +2,8 @@
 
 import collections
 
+import pytest
+
 import corpus_pipeline
 from cityair.llm import near_dup, quality, suffix_dedup
 from cityair.llm.common import landed, table
@@ -62,3 +64,18 @@ def test_stage_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "near_duplicates", "suffix_dedup", "source_mixing",
         "best_fit_packing"]
+
+
+@pytest.mark.parametrize("texts", [[], [None, "", " \n", "five words of one text", None]])
+def test_run_on_empty_tables_and_null_texts(spark, tmp_path, texts):
+    schema = table(spark, SF0001, "documents").schema
+    rows = [(i, t, None, None, None) if t is None else (i, t, "en", "web", len(t))
+            for i, t in enumerate(texts)]
+    order = ["doc_id", "text", "lang", "source", "n_chars"]
+    assert schema.names == order
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, SF0001, "labels").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # Texts without words are taken 0 times by the mixture.
+    assert {r.doc_id for r in got} <= {i for i, t in enumerate(texts) if t and t.strip()}
+    assert all(r.offset + r.length <= 2048 for r in got)
