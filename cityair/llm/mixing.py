@@ -253,7 +253,8 @@ def mix_words(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int
 def mix_texts(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int = SEED,
               text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixture as rows of ``docs``: one for each document and epoch that
-    takes words of it, with the words taken (the text as it is, if all are)."""
+    takes words of it, with the words taken (the text as it is, if all are). A
+    column ``n_chars`` of integers is counted anew, one of another type is kept."""
     packed = pack_rows(docs, "mix-texts", text_col)
 
     def count(batches):
@@ -306,8 +307,8 @@ def mix_texts(docs: DataFrame, weights=(1, 2, 3), block: int = BLOCK, seed: int
         rows = rows.take(pa.array(index[new]))
         rows = rows.set_column(rows.schema.get_field_index(text_col), text_col,
                                pa.array(out, pa.string()))
-        if "n_chars" in rows.column_names:
-            at = rows.schema.get_field_index("n_chars")
+        at = rows.schema.get_field_index("n_chars")
+        if at >= 0 and pa.types.is_integer(rows.schema.field(at).type):
             rows = rows.set_column(at, "n_chars", pc.utf8_length(rows.column(text_col)).cast(
                 rows.schema.field(at).type))
         return rows

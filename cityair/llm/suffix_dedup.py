@@ -297,15 +297,16 @@ def removed_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def dedup_texts(docs: DataFrame, text_col: str = "text", window: int = WINDOW,
                 core: int = CORE) -> DataFrame:
     """``docs`` with repeated bytes cut from the texts. A character that loses
-    some of its bytes goes whole; n_chars, where there is one, is counted anew."""
+    some of its bytes goes whole; n_chars, where it is an
+    integer column, is counted anew."""
     def emit(rows, done):
         texts = pa.array([k.decode("utf-8", "ignore") if r else t.decode("utf-8", "ignore")
                           for t, k, r, _ in done], pa.string())
         old = rows.column(text_col)
         texts = pa.compute.if_else(pa.compute.is_valid(old), texts, pa.scalar(None, pa.string()))
         rows = rows.set_column(rows.schema.get_field_index(text_col), text_col, texts)
-        if "n_chars" in rows.column_names:
-            at = rows.schema.get_field_index("n_chars")
+        at = rows.schema.get_field_index("n_chars")
+        if at >= 0 and pa.types.is_integer(rows.schema.field(at).type):
             kind = rows.schema.field(at).type
             rows = rows.set_column(at, "n_chars", pa.compute.if_else(
                 pa.array([bool(r) for _, _, r, _ in done]),

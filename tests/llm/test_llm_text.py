@@ -659,3 +659,14 @@ def test_languages_equal_loops_over_features_and_codewords(spark):
         found = got[r["doc_id"]]
         assert (found["lang_pred"], found["ambiguous"]) == (langs[best], close)
         assert found["score"] == pytest.approx(score)
+
+
+def test_n_chars_of_another_type_is_kept(spark):
+    text = "".join(random.Random(3).choice("abcdef gh") for _ in range(400))
+    docs = spark.createDataFrame([(1, text, "s", (7, "x")), (2, text, "s", None)],
+                                 "doc_id long, text string, source string, "
+                                 "n_chars struct<n:int,t:string>")
+    for out in (mixing.mix_texts(docs), suffix_dedup.dedup_texts(docs)):
+        assert out.schema == docs.schema
+        for r in out.collect():
+            assert r.n_chars == ((7, "x") if r.doc_id == 1 else None)
