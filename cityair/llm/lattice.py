@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityair.llm.common import landed, once
+from cityair.llm.common import landed, once, small_batches, trim
 
 MODULUS, HELD = 7, 2
 ROUNDS = 4
 CHUNK_BYTES = 32 << 20
-BATCH_BYTES = 1 << 20
+ROW_BYTES, ROW_WORDS = 1 << 20, 1 << 14
+BATCH_BYTES = 1 << 17
 MARK = "▁".encode()
 ALPHA = 0.1
 
@@ -187,24 +189,36 @@ def held_out(id_col: str, modulus: int, held: int):
 
 
 def _chunks(docs: DataFrame, id_col, text_col, modulus, held, chunk_bytes) -> DataFrame:
-    """(chunk, words array<binary>, n array<long>, docs binary): distinct
-    words, their counts in training documents, and the documents as a record
-    batch (doc_id, held_out, n_tokens, place list, count list)."""
+    """(chunk, first, words array<binary>, n array<long>, docs binary). A chunk's
+    distinct words and their counts in training documents come in rows of at most
+    ``ROW_WORDS``, ``first`` being the place of a row's first word; its documents
+    in rows of about ``ROW_BYTES`` of text, as record batches (doc_id, held_out,
+    n_tokens, place list, count list). So neither side of the pipe to Python
+    holds a row as large as a chunk."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       held_out(id_col, modulus, held).alias("held_out"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     inner = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                        ("place", pa.list_(pa.uint32())), ("count", pa.list_(pa.uint32()))])
-    outer = pa.schema([("chunk", pa.int64()), ("words", pa.list_(pa.binary())),
-                       ("n", pa.list_(pa.int64())), ("docs", pa.binary())])
+    outer = pa.schema([("chunk", pa.int64()), ("first", pa.int64()),
+                       ("words", pa.list_(pa.binary())), ("n", pa.list_(pa.int64())),
+                       ("docs", pa.binary())])
+
+    def row(chunk, first=None, words=None, n=None, blob=None):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x], t) for x, t in zip((chunk, first, words, n, blob), outer.types)],
+            schema=outer)
 
     def run(batches):
-        part, seq, size = TaskContext.get().partitionId(), 0, 0
+        part, seq, size, packed, n_docs = TaskContext.get().partitionId(), 0, 0, 0, 0
         places: dict[bytes, int] = {}
+        n = np.zeros(0, np.int64)
         rows: list = []
 
-        def flush():
-            n = np.zeros(len(places), np.int64)
+        def documents():
+            nonlocal n, rows, packed
+            if len(places) > len(n):
+                n = np.r_[n, np.zeros(len(places) - len(n), np.int64)]
             for _, out, _, at, count in rows:
                 if not out:
                     n[at] += count
@@ -213,10 +227,14 @@ def _chunks(docs: DataFrame, id_col, text_col, modulus, held, chunk_bytes) -> Da
                     compression="zstd")) as w:
                 w.write_batch(pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), inner.types)], schema=inner))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(
-                    ([part << 24 | seq], [list(places)], [n], [sink.getvalue().to_pybytes()]),
-                    outer.types)], schema=outer)
+            rows, packed = [], size
+            return row(part << 24 | seq, blob=sink.getvalue().to_pybytes())
+
+        def distinct():
+            words = iter(places)
+            for a in range(0, len(places), ROW_WORDS):
+                yield row(part << 24 | seq, a, list(islice(words, ROW_WORDS)),
+                          n[a:a + ROW_WORDS])
 
         for batch in batches:
             ids, out = (batch.column(c).to_pylist() for c in ("doc_id", "held_out"))
@@ -229,13 +247,21 @@ def _chunks(docs: DataFrame, id_col, text_col, modulus, held, chunk_bytes) -> Da
                 rows.append((ids[i], out[i], len(words) + 1, at,
                              np.fromiter(found.values(), np.uint32, len(found))))
                 size += sum(map(len, words)) + len(words)
-                if size >= chunk_bytes or len(rows) >= 1 << 16:
-                    yield flush()
-                    places, rows, size, seq = {}, [], 0, seq + 1
+                n_docs += 1
+                full = size >= chunk_bytes or n_docs >= 1 << 16
+                if full or size - packed >= ROW_BYTES or len(rows) >= 1 << 13:
+                    yield documents()
+                if full:
+                    yield from distinct()
+                    places, n, size, packed, n_docs, seq = {}, n[:0].copy(), 0, 0, 0, seq + 1
         if rows:
-            yield flush()
+            yield documents()
+        yield from distinct()
+        places, n = {}, n[:0].copy()
+        trim()
 
-    return own.mapInArrow(run, "chunk long, words array<binary>, n array<long>, docs binary")
+    return own.mapInArrow(
+        run, "chunk long, first long, words array<binary>, n array<long>, docs binary")
 
 
 def _words(batch: pa.RecordBatch) -> list[bytes]:
@@ -256,6 +282,7 @@ def trained(counts: DataFrame, ends: int, path: str, rounds: int) -> np.ndarray:
                 for a, b in batches_of(words):
                     total += Lattice(words[a:b], own).expected(log_p, n[a:b], size)
             some = np.flatnonzero(total)
+            trim()
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)),
                                               pa.array(total[some])], names=["piece", "n"])
         return run
@@ -279,9 +306,12 @@ def score(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS, id_col
           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score a document."""
     path = path or vocabulary()
-    chunks = landed(_chunks(docs, id_col, text_col, modulus, held, chunk_bytes), "lattice-chunks")
+    with small_batches(docs.sparkSession):
+        chunks = landed(_chunks(docs, id_col, text_col, modulus, held, chunk_bytes),
+                        "lattice-chunks")
     ends = docs.where(~held_out(id_col, modulus, held)).count()
-    pairs = chunks.select(F.explode(F.arrays_zip("words", "n")).alias("x")).select(
+    listed = chunks.where("words is not null")
+    pairs = listed.select(F.explode(F.arrays_zip("words", "n")).alias("x")).select(
         F.col("x.words").alias("word"), F.col("x.n").alias("n"))
     counts = landed(pairs.groupBy("word").agg(F.sum("n").alias("n")), "lattice-counts")
     known = counts.where("n > 0").agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
@@ -297,11 +327,12 @@ def score(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS, id_col
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("n"),
                  pa.array(np.concatenate(out) if out else np.empty(0))], names=["word", "n", "lp"])
+        trim()
 
     scored = counts.mapInArrow(each, "word binary, n long, lp double")
-    asked = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
+    asked = listed.select("chunk", "first", F.posexplode("words").alias("at", "word"))
     answers = asked.join(scored, "word").select(
-        F.col("chunk").alias("to"), "place", "n", "lp")
+        F.col("chunk").alias("to"), (F.col("first") + F.col("at")).alias("place"), "n", "lp")
     end_lp = float(log_p[-1])
     log_all = np.log10(float(tokens + distinct + 1))
     result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
@@ -329,7 +360,7 @@ def score(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS, id_col
                 pa.array((add(tf * lp[at]) + end_lp) / np.log(10.0))], schema=result))
         return pa.concat_tables(parts) if parts else result.empty_table()
 
-    return chunks.select("chunk", "docs").groupBy("chunk").cogroup(
+    return chunks.where("docs is not null").select("chunk", "docs").groupBy("chunk").cogroup(
         answers.groupBy("to")).applyInArrow(
         measure, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                  "train_tokens long, base_score double, score double")

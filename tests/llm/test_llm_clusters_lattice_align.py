@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from cityair.llm import align, centroids, lattice
@@ -219,6 +220,20 @@ def test_lattice_chunks_make_no_difference(spark):
         assert len(tokens_of(r.text)) + 1 == next(x.n_tokens for x in whole if x.doc_id == r.doc_id)
 
 
+def test_lattice_chunks_come_in_small_rows(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(900))) for i in range(400)]
+    chunks = lattice._chunks(docs_of(spark, rows).coalesce(1), "doc_id", "text", lattice.MODULUS,
+                             lattice.HELD, lattice.CHUNK_BYTES).collect()
+    assert {r.chunk for r in chunks} == {0}
+    assert max(len(r.words or []) for r in chunks) == lattice.ROW_WORDS
+    texts = [pa.ipc.open_stream(r.docs).read_all() for r in chunks if r.docs is not None]
+    assert len(texts) > 2 and sorted(i for t in texts for i in t["doc_id"].to_pylist()) == [
+        i for i, _ in rows]
+    words = [w for r in chunks if r.words for w in r.words]
+    assert len(set(words)) == len(words) == 400 * 900
+    assert sorted(r.first for r in chunks if r.words) == [*range(0, len(words), lattice.ROW_WORDS)]
+
+
 def test_lattice_without_training_or_rows(spark):
     held = [i for i in range(200) if is_held(i)][:3]
     rows = [(i, "some words") for i in held]
