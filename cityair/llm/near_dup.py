@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from cityair.llm.chunks import (REF_BITS, count_keys, key_ranges, look_up, pack_rows, text_bytes,
                                 unpack)
-from cityair.llm.common import discard, landed, mix64, reclaim
+from cityair.llm.common import discard, landed, mix64, once, reclaim
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -66,7 +66,7 @@ _MULT = 0xD6E8FEB86659FD93
 _BYTE_KEYS = mix64(np.arange(1, 257, dtype=np.uint64), 11)
 _LAST, _LEVEL = ~_U(0), _U((1 << 24) - 1)
 LAYERS = 1 << 17
-PIECE = 1 << 20
+PIECE = 1 << 17
 
 
 def _words(data: np.ndarray):
@@ -84,10 +84,14 @@ def _words(data: np.ndarray):
             size = len(piece)
             powers = _powers(size)
         up, down = powers
-        edge = np.flatnonzero(np.diff(np.r_[True, _WHITE[piece]].astype(np.int8)))
+        white = np.empty(len(piece) + 1, bool)
+        white[0] = True
+        np.take(_WHITE, piece, out=white[1:], mode="clip")
+        edge = np.flatnonzero(white[1:] != white[:-1])
         start, stop = edge[::2], edge[1::2]
         prefix = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(_BYTE_KEYS[piece] * up[:len(piece)], out=prefix[1:])
+        spelt = np.take(_BYTE_KEYS, piece, out=prefix[1:], mode="clip")
+        np.cumsum(np.multiply(spelt, up[:len(piece)], out=spelt), out=spelt)
         keys.append(mix64((prefix[stop] - prefix[start]) * down[start]
                           + (stop - start).astype(np.uint64), 3))
         starts.append(start + begin)
@@ -96,6 +100,13 @@ def _words(data: np.ndarray):
 
 
 def _powers(n: int):
+    """The first ``n`` powers of the fingerprint's factor, and of its inverse."""
+    if n > 2 * PIECE:  # one very long word
+        return _made_powers(n)
+    return tuple(p[:n] for p in once(("neardup-powers", PIECE), lambda: _made_powers(2 * PIECE)))
+
+
+def _made_powers(n: int):
     up, down = np.full(n, _MULT, np.uint64), np.full(n, pow(_MULT, -1, 1 << 64), np.uint64)
     if n:
         up[0] = down[0] = 1
@@ -108,25 +119,33 @@ def shingles(texts: list[bytes | None], size: int = SHINGLE):
     joined = b"\n".join(t or b"" for t in texts) + b"\n"
     lens = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
     start, word = _words(np.frombuffer(joined, np.uint8))
-    doc = np.searchsorted(np.cumsum(lens), start, "right")
-    words = np.bincount(doc, minlength=len(texts))
+    ends = np.searchsorted(start, np.cumsum(lens))
+    words = np.diff(ends, prepend=0)
     # Five consecutive words of one text; a shorter text has one shingle.
-    first = np.r_[0, np.cumsum(words)[:-1]]
-    place = np.arange(len(word)) - first[doc]
-    width = np.minimum(words, size)[doc]
-    begin = np.flatnonzero(place + width <= words[doc])
-    key = np.zeros(len(begin), np.uint64)
+    n = np.where(words > 0, np.maximum(words - size + 1, 1), 0)
+    doc = np.repeat(np.arange(len(texts)), n)
+    # Shingles of ``size`` words at every place, whatever text it is in.
+    whole = np.zeros(max(0, len(word) - size + 1), np.uint64)
+    for j in range(size):
+        np.bitwise_xor(whole, word[j:j + len(whole)], out=whole)
+        whole = mix64(whole, 4)
+    at = np.arange(len(doc)) + np.repeat(ends - words - (np.cumsum(n) - n), n)
+    short = np.flatnonzero(words[doc] < size)
+    key = np.take(whole, at, mode="clip") if len(whole) else np.zeros(len(at), np.uint64)
+    key[short] = 0
     for j in range(size):
-        inside = j < width[begin]
-        at = np.minimum(begin + j, max(0, len(word) - 1))
-        key = np.where(inside, mix64(key ^ word[at], 4), key) if len(word) else key
-    return doc[begin], key, words
+        inside = short[j < words[doc[short]]]
+        key[inside] = mix64(key[inside] ^ word[at[inside] + j], 4)
+    return doc, key, words
 
 
 def _distinct(doc: np.ndarray, key: np.ndarray):
-    """Each document's distinct shingles, sorted, with their frequency."""
-    order = np.lexsort((key, doc))
-    d, k = doc[order], key[order]
+    """Each document's distinct shingles, sorted, with their frequency; the
+    shingles come document by document."""
+    d, k = doc, key.copy()
+    cut = np.flatnonzero(np.r_[True, d[1:] != d[:-1], True]) if len(d) else [0]
+    for a, b in zip(cut[:-1], cut[1:]):
+        k[a:b].sort()
     new = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (k[1:] != k[:-1])]) if len(d) else []
     tf = np.diff(np.r_[new, len(d)]).astype(np.float64)
     return (d[new], k[new], tf) if len(d) else (d, k, tf)
@@ -160,28 +179,30 @@ def sketch(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, bins: i
         seed = mix64(key[at] ^ mix64(layer.astype(np.uint64), 21), 22)
         filled = np.minimum(weight[at] / height - layer, 1.0)
         level = np.maximum(1, np.ceil(filled * (1 << 24))).astype(np.uint64)
-        top = level.astype(np.int64) - 1
         first = np.flatnonzero(np.r_[True, doc[at[1:]] != doc[at[:-1]]])
-        own, run = doc[at[first]], np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(at)]))
         size = np.diff(np.r_[first, len(at)])
+        own, run = doc[at[first]], np.repeat(np.arange(len(first)), size)
+        level_min = np.minimum.reduceat(level, first)
         x, spare = np.empty_like(seed), np.empty_like(seed)
         for j in range(bins):
             # High bits are the time of a layer's first point, low bits its level.
             np.bitwise_xor(seed, bin_keys[j], out=x)
             _scramble(x, spare)
-            soonest = np.minimum.reduceat(x, first)
-            # Points over the filled part: all bits set.
-            np.bitwise_and(x, _LEVEL, out=spare)
-            signed = spare.view(np.int64)
-            np.right_shift(np.subtract(top, signed, out=signed), 63, out=signed)
-            np.bitwise_or(spare, x, out=spare)
-            least = np.minimum.reduceat(spare, first)
-            late = np.flatnonzero(soonest < least)
+            least = np.minimum.reduceat(x, first)
+            # A level below that of every layer is within the filled part of its
+            # own; the other documents' layers are looked at one by one.
+            late = np.flatnonzero((least & _LEVEL) >= level_min)
             if len(late):
-                skip = np.repeat(first[late] - np.r_[0, np.cumsum(size[late])[:-1]], size[late])
-                over = np.arange(len(skip)) + skip
-                over = over[x[over] < least[run[over]]]
-                _later_points(over, x[over], level, run, least)
+                begin = np.cumsum(size[late]) - size[late]
+                over = np.arange(int(size[late].sum())) + np.repeat(first[late] - begin,
+                                                                    size[late])
+                point = x[over]
+                outside = (point & _LEVEL) >= level[over]
+                least[late] = np.minimum.reduceat(np.where(outside, _LAST, point), begin)
+                outside &= point < least[run[over]]
+                if outside.any():
+                    over = over[outside]
+                    _later_points(over, x[over], level, run, least)
             out[j, own] = np.minimum(out[j, own], least)
     out[out == _LAST] = 0
     return out.T

@@ -355,6 +355,32 @@ def test_sketch_collisions_with_uneven_weights(height):
         assert abs((one == two).mean() - true) < 0.03
 
 
+def test_shingles_equal_plain_loops(monkeypatch):
+    rng = random.Random(8)
+    texts = [None, b"", b" \t", b"a b", b"b a", b"a b a b a b a b", b"x" * 700 + b" y"] + [
+        " ".join(rng.choices(["a", "bb", "\n", "é"], k=rng.randint(0, 12))).encode()
+        for _ in range(60)]
+    plain = [[tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))] if w else []
+             for w in ((t or b"").split() for t in texts)]
+    for piece in (near_dup.PIECE, 16):
+        monkeypatch.setattr(near_dup, "PIECE", piece)
+        doc, key, words = near_dup.shingles(texts)
+        assert words.tolist() == [len((t or b"").split()) for t in texts]
+        assert doc.tolist() == [i for i, p in enumerate(plain) for _ in p]
+        listed = [s for p in plain for s in p]
+        assert len(set(zip(listed, key.tolist()))) == len(set(listed)) == len(set(key.tolist()))
+        d, k, tf = near_dup._distinct(doc, key)
+        count = collections.Counter(zip(doc.tolist(), key.tolist()))
+        assert list(zip(d.tolist(), k.tolist())) == sorted(count)
+        assert dict(zip(zip(d.tolist(), k.tolist()), tf)) == count
+
+
+def test_fingerprint_powers_are_made_once():
+    assert np.shares_memory(near_dup._powers(7)[0], near_dup._powers(near_dup.PIECE)[0])
+    up, down = near_dup._powers(2 * near_dup.PIECE + 1)
+    assert len(up) == 2 * near_dup.PIECE + 1 and (up * down == 1).all()
+
+
 def test_sketch_does_not_depend_on_pieces(monkeypatch):
     rng = np.random.default_rng(6)
     doc = np.sort(rng.integers(0, 20, 600))
