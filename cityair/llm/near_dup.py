@@ -151,11 +151,24 @@ def _distinct(doc: np.ndarray, key: np.ndarray):
     return (d[new], k[new], tf) if len(d) else (d, k, tf)
 
 
-def _weights(key, tf, answer, n_docs: int, damping: float):
-    df, _ = look_up(key, answer)
+def _weights(tf, df, n_docs: int, damping: float):
     return tf * (1 + damping * (1 - np.log(df) / math.log(max(2, n_docs))))
 
 
+def _asked_sets(own: pa.Table, asked: pa.Table, text: str, n_docs: int, damping: float):
+    """The weighted shingles of a chunk's rows that ``asked`` names by ``ref``,
+    with their document counts as ``_sketches`` found them: {ref: (keys,
+    weights, df)}. No other text of the chunk is looked at."""
+    known = dict(zip(asked.column("ref").to_pylist(), asked.column("df").to_pylist()))
+    at = np.fromiter(known, np.int64, len(known)) & ((1 << REF_BITS) - 1)
+    rows = unpack(own.column("rows")[0]).column(text).take(pa.array(at))
+    d, k, tf = _distinct(*shingles(text_bytes(rows))[:2])
+    df = np.frombuffer(b"".join(known.values()), np.uint32)
+    w = _weights(tf, df, n_docs, damping)
+    cut = np.searchsorted(d, np.arange(len(known) + 1))
+    return {ref: (k[a:b], w[a:b], df[a:b]) for ref, a, b in zip(known, cut[:-1], cut[1:])}
+
+
 def sketch(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, bins: int,
            height: float = 1.0) -> np.ndarray:
     """Consistent weighted samples, (n, bins), each bin by draws of its own
@@ -254,8 +267,10 @@ def jaccard(a, b) -> float:
 
 
 def _sketches(packed, df_answers, text, n_docs, damping, bands, rows):
+    """(ref, text_hi, text_lo, bands, df) of every row with a word; df holds the
+    document counts of its distinct shingles, in ascending order of these."""
     schema = pa.schema([("ref", pa.int64()), ("text_hi", pa.int64()), ("text_lo", pa.int64()),
-                        ("bands", pa.list_(pa.int64()))])
+                        ("bands", pa.list_(pa.int64())), ("df", pa.binary())])
 
     def run(own: pa.Table, answer: pa.Table) -> pa.Table:
         if own.num_rows == 0:
@@ -264,17 +279,22 @@ def _sketches(packed, df_answers, text, n_docs, damping, bands, rows):
         texts = text_bytes(unpack(own.column("rows")[0]).column(text))
         doc, key, words = shingles(texts)
         d, k, tf = _distinct(doc, key)
-        w = _weights(k, tf, answer, n_docs, damping)
+        df = look_up(k, answer)[0]
+        w = _weights(tf, df, n_docs, damping)
+        cut = np.searchsorted(d, np.arange(len(texts) + 1))
         sig = bands_of(sketch(d, k, w, len(texts), bands * rows, max(1.0, 1 + damping)),
                        bands, rows).view(np.int64)
         has = np.flatnonzero(words)
         same = [xxhash.xxh3_128_digest(texts[i]) for i in has]
         same = np.frombuffer(b"".join(same), np.int64).reshape(-1, 2)
         return pa.table([(chunk << REF_BITS) + has, same[:, 0], same[:, 1],
-                         pa.array(list(sig[has]), pa.list_(pa.int64()))], schema=schema)
+                         pa.array(list(sig[has]), pa.list_(pa.int64())),
+                         pa.array([df[cut[i]:cut[i + 1]].tobytes() for i in has], pa.binary())],
+                        schema=schema)
 
     return landed(packed.groupBy("chunk").cogroup(df_answers.groupBy("chunk")).applyInArrow(
-        run, "ref long, text_hi long, text_lo long, bands array<long>"), "neardup-sketches")
+        run, "ref long, text_hi long, text_lo long, bands array<long>, df binary"),
+        "neardup-sketches")
 
 
 def _candidates(reps: DataFrame) -> DataFrame:
@@ -299,7 +319,12 @@ def _candidates(reps: DataFrame) -> DataFrame:
                   "neardup-candidates")
 
 
-def _verify(packed, df_answers, pairs, text, n_docs, damping, similarity) -> DataFrame:
+def _counts(sketched: DataFrame) -> DataFrame:
+    """(chunk, ref, df) of the sketched rows."""
+    return sketched.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref", "df")
+
+
+def _verify(packed, sketched, pairs, text, n_docs, damping, similarity) -> DataFrame:
     """The pairs whose weighted Jaccard similarity reaches ``similarity``."""
     # Landed, so that the join below has an exchange on either side and Spark
     # can split a leader with very many members.
@@ -313,22 +338,22 @@ def _verify(packed, df_answers, pairs, text, n_docs, damping, similarity) -> Dat
             F.col("leader").alias("ref"), "leader", F.lit(0).cast("long").alias("lo"),
             (F.greatest(F.lit(1), F.ceil(F.col("n") / GROUP)) - 1).alias("hi")))
     asks = asks.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref", "leader", "lo", "hi")
-    more = df_answers.unionByName(asks, allowMissingColumns=True)
+    more = _counts(sketched).unionByName(asks, allowMissingColumns=True)
     blob = pa.schema([("leader", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()),
                       ("ref", pa.int64()), ("keys", pa.binary()), ("weights", pa.binary())])
 
     def send(own: pa.Table, asked: pa.Table) -> pa.Table:
-        wanted = asked.filter(pa.compute.is_valid(asked["ref"]))
+        known = pa.compute.is_valid(asked["df"])
+        wanted = asked.filter(pa.compute.invert(known))
         if own.num_rows == 0 or wanted.num_rows == 0:
             return blob.empty_table()
-        index = wanted["ref"].to_numpy() & ((1 << REF_BITS) - 1)
-        texts = text_bytes(unpack(own.column("rows")[0]).column(text))
-        d, k, tf = _distinct(*shingles(texts)[:2])
-        w = _weights(k, tf, asked.filter(pa.compute.is_valid(asked["totals"])), n_docs, damping)
-        cut = np.searchsorted(d, np.arange(len(texts) + 1))
+        counts = asked.filter(pa.compute.and_(known, pa.compute.is_in(
+            asked["ref"], wanted["ref"].combine_chunks())))
+        sets = _asked_sets(own, counts, text, n_docs, damping)
+        refs = wanted["ref"].to_pylist()
         return pa.table([wanted["leader"], wanted["lo"], wanted["hi"], wanted["ref"],
-                         pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary()),
-                         pa.array([w[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary())],
+                         pa.array([sets[r][0].tobytes() for r in refs], pa.binary()),
+                         pa.array([sets[r][1].tobytes() for r in refs], pa.binary())],
                         schema=blob)
 
     sent = packed.groupBy("chunk").cogroup(more.groupBy("chunk")).applyInArrow(
@@ -395,59 +420,46 @@ def rare_prefix(keys, weights, df, similarity: float) -> np.ndarray:
     return order[:int(np.argmax(enough)) + 1]
 
 
-def _prefixes(packed, df_answers, refs, text, n_docs, damping, similarity) -> DataFrame:
+def _prefixes(packed, sketched, refs, text, n_docs, damping, similarity) -> DataFrame:
     """(ref, shingle): the rarest shingles of the rows ``refs``, but for those
     that no other document holds."""
-    asks = refs.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref")
-    chunks = landed(asks.select("chunk").distinct(), "neardup-left-chunks")
-    packed, df_answers = (x.join(chunks, "chunk", "left_semi") for x in (packed, df_answers))
-    more = df_answers.unionByName(asks, allowMissingColumns=True)
+    chunks = landed(refs.select(F.shiftright("ref", REF_BITS).alias("chunk")).distinct(),
+                    "neardup-left-chunks")
+    packed = packed.join(chunks, "chunk", "left_semi")
+    asks = _counts(sketched).join(refs, "ref", "left_semi")
     out = pa.schema([("ref", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def send(own: pa.Table, asked: pa.Table) -> pa.Table:
-        wanted = asked.filter(pa.compute.is_valid(asked["ref"]))
-        if own.num_rows == 0 or wanted.num_rows == 0:
+        if own.num_rows == 0 or asked.num_rows == 0:
             return out.empty_table()
-        index = wanted["ref"].to_numpy() & ((1 << REF_BITS) - 1)
-        texts = text_bytes(unpack(own.column("rows")[0]).column(text))
-        d, k, tf = _distinct(*shingles(texts)[:2])
-        answer = asked.filter(pa.compute.is_valid(asked["totals"]))
-        df, w = look_up(k, answer)[0], _weights(k, tf, answer, n_docs, damping)
-        cut = np.searchsorted(d, np.arange(len(texts) + 1))
+        sets = _asked_sets(own, asked, text, n_docs, damping)
         rare = []
-        for a, b in zip(cut[index], cut[index + 1]):
-            at = a + rare_prefix(k[a:b], w[a:b], df[a:b], similarity)
+        for k, w, df in sets.values():
+            at = rare_prefix(k, w, df, similarity)
             rare.append(k[at[df[at] > 1]].view(np.int64))
-        return pa.table([wanted["ref"], pa.array(rare, pa.list_(pa.int64()))], schema=out)
+        return pa.table([list(sets), pa.array(rare, pa.list_(pa.int64()))], schema=out)
 
-    return packed.groupBy("chunk").cogroup(more.groupBy("chunk")).applyInArrow(
+    return packed.groupBy("chunk").cogroup(asks.groupBy("chunk")).applyInArrow(
         send, "ref long, shingles array<long>").select(
         "ref", F.explode("shingles").alias("shingle"))
 
 
-def _sets(packed, df_answers, refs, text, n_docs, damping) -> DataFrame:
+def _sets(packed, sketched, refs, text, n_docs, damping) -> DataFrame:
     """(ref, keys, weights): the weighted shingles of the rows ``refs``."""
-    asks = refs.select(F.shiftright("ref", REF_BITS).alias("chunk"), "ref")
-    chunks = landed(asks.select("chunk").distinct(), "neardup-left-chunks")
-    packed, df_answers = (x.join(chunks, "chunk", "left_semi") for x in (packed, df_answers))
-    more = df_answers.unionByName(asks, allowMissingColumns=True)
+    chunks = landed(refs.select(F.shiftright("ref", REF_BITS).alias("chunk")).distinct(),
+                    "neardup-left-chunks")
+    packed = packed.join(chunks, "chunk", "left_semi")
+    asks = _counts(sketched).join(refs, "ref", "left_semi")
     blob = pa.schema([("ref", pa.int64()), ("keys", pa.binary()), ("weights", pa.binary())])
 
     def send(own: pa.Table, asked: pa.Table) -> pa.Table:
-        wanted = asked.filter(pa.compute.is_valid(asked["ref"]))
-        if own.num_rows == 0 or wanted.num_rows == 0:
+        if own.num_rows == 0 or asked.num_rows == 0:
             return blob.empty_table()
-        index = wanted["ref"].to_numpy() & ((1 << REF_BITS) - 1)
-        texts = text_bytes(unpack(own.column("rows")[0]).column(text))
-        d, k, tf = _distinct(*shingles(texts)[:2])
-        w = _weights(k, tf, asked.filter(pa.compute.is_valid(asked["totals"])), n_docs, damping)
-        cut = np.searchsorted(d, np.arange(len(texts) + 1))
-        return pa.table([wanted["ref"],
-                         pa.array([k[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary()),
-                         pa.array([w[cut[i]:cut[i + 1]].tobytes() for i in index], pa.binary())],
-                        schema=blob)
+        sets = _asked_sets(own, asked, text, n_docs, damping)
+        return pa.table([list(sets), [k.tobytes() for k, _, _ in sets.values()],
+                         [w.tobytes() for _, w, _ in sets.values()]], schema=blob)
 
-    return landed(packed.groupBy("chunk").cogroup(more.groupBy("chunk")).applyInArrow(
+    return landed(packed.groupBy("chunk").cogroup(asks.groupBy("chunk")).applyInArrow(
         send, "ref long, keys binary, weights binary"), "neardup-sets")
 
 
@@ -470,12 +482,12 @@ def _left_over(reps: DataFrame, labels: DataFrame) -> DataFrame:
     return landed(rest.join(mixed, ["band", "key"]), "neardup-left-over")
 
 
-def _with_partners(rest, packed, df_answers, text, n_docs, damping, similarity) -> DataFrame:
+def _with_partners(rest, packed, sketched, text, n_docs, damping, similarity) -> DataFrame:
     """The rows of ``rest`` (``_left_over``) whose member shares one of its
     rarest shingles with a member of another class, in buckets that still hold
     more than one class."""
     of = landed(rest.select("ref", "label").distinct(), "neardup-left-refs")
-    rare = landed(_prefixes(packed, df_answers, of.select("ref"), text, n_docs, damping,
+    rare = landed(_prefixes(packed, sketched, of.select("ref"), text, n_docs, damping,
                             similarity).join(of, "ref"), "neardup-prefixes")
     shared = rare.groupBy("shingle").agg(F.min("label").alias("a"), F.max("label").alias(
         "b")).where("a <> b").select("shingle")
@@ -498,7 +510,7 @@ def _blocks(rest: DataFrame) -> DataFrame:
         F.ceil(F.col("minor") / BLOCK).cast("int").alias("minor_blocks"))
 
 
-def _verify_left_over(packed, df_answers, reps, labels, text, n_docs, damping, similarity):
+def _verify_left_over(packed, sketched, reps, labels, text, n_docs, damping, similarity):
     """Verified pairs of the members that their buckets' leaders leave in
     different classes: all of them, block of members by block of members.
 
@@ -507,12 +519,12 @@ def _verify_left_over(packed, df_answers, reps, labels, text, n_docs, damping, s
     rest = _left_over(reps, labels)
     if rest.limit(1).count() == 0:
         return None
-    rest = landed(_blocks(_with_partners(rest, packed, df_answers, text, n_docs, damping,
+    rest = landed(_blocks(_with_partners(rest, packed, sketched, text, n_docs, damping,
                                          similarity)), "neardup-dealt")
     if rest.limit(1).count() == 0:
         return None
     refs = landed(rest.select("ref").distinct(), "neardup-compared")
-    sets = _sets(packed, df_answers, refs, text, n_docs, damping).join(
+    sets = _sets(packed, sketched, refs, text, n_docs, damping).join(
         reps.select("ref", "bands"), "ref")
     # Blocks: minor ones are numbered from 0, the most frequent class's follow.
     place = F.xxhash64("ref", F.lit(9))
@@ -589,6 +601,7 @@ def _labels(docs: DataFrame, text: str, similarity: float, bands: int, rows: int
 
     counted = count_keys(packed, keys, ["rows"], key_ranges(packed, 6.5), "neardup-df")
     sketched = _sketches(packed, counted, text, n_docs, damping, bands, rows)
+    discard(counted)
     copies = (sketched.groupBy("text_hi", "text_lo").agg(
         F.min("ref").alias("rep"), F.count("*").alias("n")))
     copies = landed(copies.where("n > 1"), "neardup-copies")
@@ -597,10 +610,10 @@ def _labels(docs: DataFrame, text: str, similarity: float, bands: int, rows: int
     reps = sketched.select("ref", "bands").join(copied.where("ref <> rep").select("ref"), "ref",
                                                 "left_anti")
     pairs = _candidates(reps)
-    links = _verify(packed, counted, pairs, text, n_docs, damping, similarity)
+    links = _verify(packed, sketched, pairs, text, n_docs, damping, similarity)
     labels = components(links, "neardup-led")
-    more = _verify_left_over(packed, counted, reps, labels, text, n_docs, damping, similarity)
-    discard(counted, pairs)
+    more = _verify_left_over(packed, sketched, reps, labels, text, n_docs, damping, similarity)
+    discard(pairs)
     if more is not None:
         labels = components(links.unionByName(more.select("a", "b")), "neardup-components")
     # A class of near copies takes its members' exact copies along.

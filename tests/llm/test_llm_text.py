@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cityair.llm import lang_id, mixing, near_dup, packing, quality, suffix_dedup
@@ -375,6 +376,26 @@ def test_shingles_equal_plain_loops(monkeypatch):
         assert dict(zip(zip(d.tolist(), k.tolist()), tf)) == count
 
 
+def test_only_asked_texts_are_shingled(monkeypatch):
+    texts = [" ".join(f"w{i}x{j % (i + 3)}" for j in range(40)) for i in range(30)]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, pa.schema([("text", pa.string())])) as w:
+        w.write_table(pa.table({"text": texts}))
+    own = pa.table({"chunk": [5], "rows": [sink.getvalue().to_pybytes()]})
+    doc, key, tf = near_dup._distinct(*near_dup.shingles([t.encode() for t in texts])[:2])
+    df = np.arange(1, len(key) + 1, dtype=np.uint32)
+    refs = [5 << 20 | i for i in (17, 3, 29)]
+    asked = pa.table({"ref": refs, "df": [df[doc == r & 0xFF].tobytes() for r in refs]})
+    seen, plain = [], near_dup.shingles
+    monkeypatch.setattr(near_dup, "shingles", lambda t: seen.extend(t) or plain(t))
+    got = near_dup._asked_sets(own, asked, "text", 2000, 0.1)
+    assert seen == [texts[i].encode() for i in (17, 3, 29)] and list(got) == refs
+    for ref, (k, w, counts) in got.items():
+        at = doc == ref & 0xFF
+        assert (k == key[at]).all() and (counts == df[at]).all()
+        assert w == pytest.approx(tf[at] * (1 + 0.1 * (1 - np.log(df[at]) / math.log(2000))))
+
+
 def test_fingerprint_powers_are_made_once():
     assert np.shares_memory(near_dup._powers(7)[0], near_dup._powers(near_dup.PIECE)[0])
     up, down = near_dup._powers(2 * near_dup.PIECE + 1)
